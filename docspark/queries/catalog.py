@@ -1,0 +1,5 @@
+"""Every reference operator as a query: name -> (Spark callable, SQL or None)."""
+
+from __future__ import annotations
+
+CATALOG: dict = {}
