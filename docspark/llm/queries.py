@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import packing, quality, simhash
 
 QUERIES = {
+    "op4_simhash": simhash.op4_simhash,
+    "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
