@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from . import packing, quality, simhash
+from . import chat, licenses, mixing, packing, quality, simhash, topk
 
 QUERIES = {
+    "op2_license_scan": licenses.op2_license_scan,
     "op4_simhash": simhash.op4_simhash,
+    "op5_exact_top_k": topk.op5_exact_top_k,
+    "op6_chat_formatting": chat.op6_chat_formatting,
+    "op7_mixing": mixing.op7_mixing,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_quality_rules": quality.op10_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_top_k": topk.OP5_SQL,
+    "op6_chat_formatting": chat.OP6_SQL,
+    "op7_mixing": mixing.OP7_SQL,
+}
