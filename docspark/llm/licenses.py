@@ -92,9 +92,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         raise ValueError("a template needs five words")
     known = sorted({h for t in templates.values() for h in hashed(words(t))})
     sizes = sorted({len(hashed(words(t))) for t in templates.values()})
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(F.lower("text"), "[^a-z0-9]+"), "").alias("w")).where(F.size("w") >= SHINGLE)
-    run = F.transform("w", lambda w, i: F.xxhash64(w, *[F.get(F.col("w"), i + k) for k in range(1, SHINGLE)]))
-    hits = own.select("doc_id", "w", F.slice(run, F.lit(1), F.size("w") - (SHINGLE - 1)).alias("h")).where(F.arrays_overlap("h", F.array(*[F.lit(h) for h in known])))
+    split = F.array_remove(F.split(F.lower("text"), "[^a-z0-9]+"), "")
+    hashes = lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, SHINGLE)]))
+    # exploding a one-element array keeps the optimizer from splitting the text anew for each shingle
+    once = F.explode(F.transform(F.array(split), lambda ws: F.struct(ws.alias("w"), F.slice(hashes(ws), F.lit(1), F.greatest(F.size(ws) - (SHINGLE - 1), F.lit(0))).alias("h"))))
+    own = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), once.alias("x")).select("doc_id", "x.*")
+    hits = own.where(F.arrays_overlap("h", F.array(*[F.lit(h) for h in known])))
     cutting = F.array(*[F.struct(F.lit(m).alias("size"), F.lit(m + (m + 1) // 2).alias("span"), F.lit(max(1, (m + 1) // 2)).alias("step")) for m in sizes])
     cuts = hits.select("doc_id", "w", "h", F.explode(cutting).alias("c")).select("doc_id", "w", "h", "c.*")
     # the last window starts where it still reaches the end; earlier ones are whole
@@ -102,7 +105,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     windows = cuts.select("doc_id", "w", "size", "h", "span", F.explode(starts).alias("start")).select(
         "doc_id", "size", "start", F.expr("slice(h, start + 1, span)").alias("h"), F.expr(f"slice(w, start + 1, span + {SHINGLE - 1})").alias("w")
     ).where(F.arrays_overlap("h", F.array(*[F.lit(h) for h in known])))
-    bands = F.array(*[F.struct(F.lit(k).alias("band"), F.array_min(F.transform("h", lambda x, k=k: F.xxhash64(x, F.lit(k)))).alias("value")) for k in range(BANDS)])
+    least = lambda k: F.array_min(F.transform("h", lambda x: F.xxhash64(x, F.lit(k))))
+    bands = F.array(*[F.struct(F.lit(k).alias("band"), least(k).alias("value")) for k in range(BANDS)])
     filed = windows.select("doc_id", "size", "start", "w", F.explode(bands).alias("b")).select("doc_id", "size", "start", "w", "b.band", "b.value")
     found = filed.join(F.broadcast(_template_bands(docs.sparkSession, templates)), ["size", "band", "value"])  # BANDS rows a template
     texts = F.transform(F.sequence(F.lit(1), F.size("w") - (SHINGLE - 1)), lambda i: F.array_join(F.slice(F.col("w"), i, F.lit(SHINGLE)), " "))

@@ -14,11 +14,11 @@ Null and empty texts have only the END id. Each input row is packed, repeated id
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,71 +26,54 @@ from .common import cut, table
 
 CAPACITY, END, VOCABULARY = 4096, 1, "word_bpe_49k.json"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: The vocabulary's own rule for splitting a lower-cased text.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The letters and numbers below U+0250, and the vocabulary's own rule for splitting a lower-cased text.
+LETTERS, NUMBERS = "a-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"
+
+#: The vocabulary shows a byte that is no visible Latin-1 character as the next free character from U+0100 on.
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
 
 
 class Tokens(dict):
-    """Lower-cased chunk between white space (UTF-8) -> its ids as little-endian unsigned 32-bit bytes.
+    """Part of a lower-cased Latin text -> its ids as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space and splits before merging, so a text's ids are those of
-    its chunks in turn. Chunks of plain Latin text are split here and their new parts are
-    encoded together; anything else is encoded by the tokenizer as it stands. Memory is
-    bounded by clearing.
+    its parts in turn. Parts not met before go to the merge model alone. Texts with
+    characters beyond Latin, unusual white space or the mark of a special token are encoded
+    by the tokenizer as they stand. Memory is bounded by clearing.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 700_000):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most, self.parts = most, {}
-        self.split, self.plain = regex.compile(SPLIT).findall, regex.compile("[!-~¡-¬®-ɏ]+").fullmatch
+        self.most = most
+        self.split, self.plain = re.compile(SPLIT).findall, re.compile("[\t-\r -~¡-¬®-ɏ]*").fullmatch
 
     def direct(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def learn(self, chunks: set) -> None:
-        if len(self) + len(chunks) > self.most:
-            self.clear()
-        if len(self.parts) > self.most // 2:
-            self.parts.clear()
-        plain, new = [], {}
-        for chunk in chunks:
-            text = chunk.decode("utf-8", "surrogatepass")
-            if self.plain(text):
-                parts = self.split(text.lower())
-                plain.append((chunk, parts))
-                new.update((p, None) for p in parts if p not in self.parts)
-            else:
-                self[chunk] = self.direct(text)
-        names = list(new)
-        for k in range(0, len(names), 5_000):
-            some = names[k : k + 5_000]
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids: list[list[int]] = [[] for _ in some]
-            where = got.word_ids
-            if where and where[-1] == len(some) - 1 and len(set(where)) == len(some):
-                for w, i in zip(where, got.ids, strict=True):
-                    ids[w].append(i)
-                self.parts.update((p, array("I", i).tobytes()) for p, i in zip(some, ids, strict=True))
-            else:
-                self.parts.update((p, self.direct(p)) for p in some)
-        for chunk, parts in plain:
-            self[chunk] = b"".join([self.parts[p] for p in parts])
+    def learn(self, parts: list[str]) -> None:
+        merge = self.tokenizer.model.tokenize
+        for part in parts:
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SIGNS)
+            self[part] = array("I", [x.id for x in merge(shown)]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "<|" in text:  # may hold a special token, whose case matters
+        if "<|" in text or not self.plain(text):
             return self.direct(text)
-        chunks = text.encode("utf-8", "surrogatepass").lower().split()
+        parts = self.split(text.lower())
         try:
-            return b"".join(map(self.__getitem__, chunks))
+            return b"".join(map(self.__getitem__, parts))
         except KeyError:
-            every = set(chunks)
-            self.learn({c for c in every if c not in self} if len(self) + len(every) <= self.most else every)
-            return b"".join(map(self.__getitem__, chunks))
+            every = set(parts)
+            if len(self) + len(every) > self.most:
+                self.clear()
+            self.learn([p for p in every if p not in self])
+            return b"".join(map(self.__getitem__, parts))
 
 
 def _pieces(path: str, capacity: int):
