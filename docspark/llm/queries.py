@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, licenses, mixing, packing, quality, simhash, topk
+from . import chat, langid, licenses, mixing, packing, quality, simhash, topk
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
     "op2_license_scan": licenses.op2_license_scan,
     "op4_simhash": simhash.op4_simhash,
     "op5_exact_top_k": topk.op5_exact_top_k,
