@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, langid, licenses, mixing, packing, quality, simhash, topk
+from . import chat, langid, licenses, mixing, packing, phrases, quality, simhash, topk
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op2_license_scan": licenses.op2_license_scan,
+    "op3_substring_dedup": phrases.op3_substring_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op5_exact_top_k": topk.op5_exact_top_k,
     "op6_chat_formatting": chat.op6_chat_formatting,
