@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, langid, licenses, mixing, packing, phrases, quality, simhash, topk
+from . import chat, langid, licenses, mixing, packing, phrases, quality, simhash, suffixes, topk
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_exact_top_k": topk.op5_exact_top_k,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_mixing": mixing.op7_mixing,
+    "op8_suffix_dedup": suffixes.op8_suffix_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_quality_rules": quality.op10_quality_rules,
 }
