@@ -11,7 +11,8 @@ keeps every link, adds none, and stays linear in the file's size.
 
 Null and empty texts have fingerprint 0, linked like any other. Texts of fewer words than a
 shingle have one shingle, the whole sequence. Each input row gives one output row; rows with
-a null id keep it and count as the largest id. Other columns are ignored.
+a null id keep it and count as the largest id (a component of such rows alone has a null
+component_id). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,45 +60,56 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def _fingerprints(shingle: int):
     def run(batches):
         for batch in batches:
-            values = [signed(fingerprint(t.as_py(), shingle)) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(values, pa.int64())], names=["doc_id", "fp"])
+            values = [signed(fingerprint(t.as_py(), shingle)) for t in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(values, pa.int64())], names=["doc", "row", "fp"])
 
     return run
 
 
 def links(marks: DataFrame, file_pairs: int = FILE_PAIRS) -> DataFrame:
-    """a, b: nodes of different fingerprints that differ in at most two bits, or an equal web of such links. marks: fp, node."""
+    """a, b: fingerprints of marks (fp) that differ in at most two bits; large files give stars that connect the same."""
     filed = marks.select(
-        "fp", "node", F.explode(F.array(*[F.struct(F.lit(i).alias("file"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("part")) for i, m in enumerate(MASKS)])).alias("k")
-    ).select("fp", "node", "k.file", "k.part")
+        "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("file"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("part")) for i, m in enumerate(MASKS)])).alias("k")
+    ).select("fp", "k.file", "k.part")
     sizes = filed.groupBy("file", "part").agg(F.count("*").alias("n")).where("n > 1")
     held = cut(filed.join(sizes, ["file", "part"]))
     few = held.where(F.col("n") <= file_pairs)
-    left, right = few.select("file", "part", F.col("fp").alias("fp1"), F.col("node").alias("a")), few.select("file", "part", F.col("fp").alias("fp2"), F.col("node").alias("b"))
-    close = F.bit_count(F.col("fp1").bitwiseXOR(F.col("fp2"))) <= MAX_BITS
-    pairs = left.join(right, ["file", "part"]).where((F.col("fp1") < F.col("fp2")) & close).select("a", "b")
+    left, right = few.select("file", "part", F.col("fp").alias("a")), few.select("file", "part", F.col("fp").alias("b"))
+    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
+    pairs = left.join(right, ["file", "part"]).where((F.col("a") < F.col("b")) & close).select("a", "b")
 
     flips = F.array(*[
         F.array(F.lit(0).cast("long"), *[F.lit(signed(1 << bit)) for bit in range(64) if not m >> bit & 1]) for m in MASKS
     ])
-    spread = held.where(F.col("n") > file_pairs).select("file", "node", "fp", F.explode(F.element_at(flips, F.col("file") + 1)).alias("flip"))
-    spread = spread.select("file", "node", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
-    least = spread.groupBy("file", "middle").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
-    stars = spread.join(least, ["file", "middle"]).where("node <> b").select(F.col("node").alias("a"), "b")
+    spread = held.where(F.col("n") > file_pairs).select("file", "fp", F.explode(F.element_at(flips, F.col("file") + 1)).alias("flip"))
+    spread = spread.select("file", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
+    least = spread.groupBy("file", "middle").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
+    stars = spread.join(least, ["file", "middle"]).where("fp <> b").select(F.col("fp").alias("a"), "b")
     return pairs.union(stars).distinct()
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (long), component_id, n_rows (of the same fingerprint): one row per row of docs."""
-    own = docs.select(ordering_id().alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = cut(own.mapInArrow(_fingerprints(shingle), "doc_id long, fp long"))
-    marks = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    roots = components(links(marks))
-    named = marks.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    """doc, row, fp, best for each row of docs: its ordering id, the hash of its text, its fingerprint, and the least (doc, row) of its component."""
+    own = docs.select(ordering_id().alias("doc"), F.xxhash64("text").alias("row"), F.col("text").cast("string").alias("text"))
+    marked = cut(own.mapInArrow(_fingerprints(shingle), "doc long, row long, fp long"))
+    marks = cut(marked.groupBy("fp").agg(F.min(F.struct("doc", "row")).alias("best")))
+    named = marks.join(components(links(marks.select("fp"))).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    best = named.groupBy("root").agg(F.min("best").alias("best"))
+    return marked.join(named.select("fp", "root").join(best, "root").select("fp", "best"), "fp")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs without near-duplicates: of each component the one with the least id (then hash of the text) stays."""
+    groups = near_groups(docs, shingle)
+    winners = cut(groups.where((F.col("doc") == F.col("best.doc")) & (F.col("row") == F.col("best.row"))).groupBy("doc", "row").agg(F.count("*").alias("n")))
+    keyed = docs.withColumn("_doc", ordering_id()).withColumn("_row", F.xxhash64("text"))
+    left = keyed.join(winners.select(F.col("doc").alias("_doc"), F.col("row").alias("_row")), ["_doc", "_row"], "left_semi")
+    if winners.where("n > 1").limit(1).count():  # rows alike in id and text are one document
+        left = left.dropDuplicates(["_doc", "_row"])
+    return left.select(*docs.columns)
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
     groups = near_groups(table(spark, sf_dir, "documents"))
-    real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    return groups.select(real.alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return groups.select(real("doc").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real("best.doc").alias("component_id"))
