@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -50,15 +51,21 @@ def drop(*tables: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of finished steps."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner remove the shuffle files of finished steps.
+
+    The first collection frees the references that Python's objects held, the second the
+    shuffles behind them.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 class WordHashes(dict):
     """bytes -> XXH64 of a word, kept for the words seen; bounded by clearing."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 700_000):
         super().__init__()
         self.most = most
 

@@ -3,7 +3,8 @@
 A window is 13 consecutive words `[^\\x20\\x09-\\x0D]+` of one document. Windows that occur in
 two documents are confirmed on their words, compiled into Aho-Corasick automata (pyahocorasick),
 one for each shard of anchor values, and the segments of all documents that can hold one are
-streamed through the automaton of their shard, which gives every occurrence. A word is removed
+streamed through the automaton of their shard, which gives every occurrence. Where all
+segments of an anchor value are alike, the whole segment is the pattern. A word is removed
 if a window over it also starts in a document with a smaller id, as the input stands. Words are
 single characters in the automata: a shard numbers its own words, so a node is a word.
 
@@ -16,6 +17,7 @@ remove each other's words. Other columns are kept as they are by `remove_phrases
 from __future__ import annotations
 
 import hashlib
+from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -57,39 +59,48 @@ class _Signs(dict):
 def locate(rows) -> list[tuple[int, int, int]]:
     """(row, first window, windows) of windows that a smaller document has. rows: hash, doc, row, start, windows, segment, by hash and doc."""
     signs = _Signs()
-    lines = ["".join(map(signs.__getitem__, r[5].split(b" "))) for r in rows]
-    first: dict[str, int] = {}
-    again: dict[str, int] = {}
-    busy = set()
-    for r, line in zip(rows, lines, strict=True):
-        doc = r[1]
-        for i in range(r[4]):
-            window = line[i : i + WINDOW]
-            owner = first.setdefault(window, doc)
-            if owner < doc:
-                again[window] = owner
-                busy.add(r[0])
-    if not again:
-        return []
     automaton = ahocorasick.Automaton()
-    for window, owner in again.items():
-        automaton.add_word(window, owner)
+    streamed: list[tuple[int, dict]] = []  # row numbers and different segments of the anchor values that hold a repeat
+    for _, group in groupby(range(len(rows)), lambda k: rows[k][0]):
+        numbers = list(group)
+        docs: dict[bytes, list[int]] = {}  # segment -> its smallest and largest document
+        for k in numbers:
+            docs.setdefault(rows[k][5], [rows[k][1], 0])[1] = rows[k][1]
+        if rows[numbers[0]][1] == rows[numbers[-1]][1]:
+            continue
+        lines = {segment: "".join(map(signs.__getitem__, segment.split(b" "))) for segment in docs}
+        if len(lines) == 1:  # the whole segment recurs
+            (segment, line), = lines.items()
+            automaton.add_word(line, (docs[segment][0], len(line)))
+        else:
+            spans: dict[str, list[int]] = {}
+            for segment, line in lines.items():
+                low, high = docs[segment]
+                for i in range(len(line) - WINDOW + 1):
+                    seen = spans.setdefault(line[i : i + WINDOW], [low, high])
+                    if seen[1] < high:
+                        seen[1] = high
+            for window, (low, high) in spans.items():
+                if low < high:
+                    automaton.add_word(window, (low, WINDOW))
+        streamed.append((numbers, lines))
+    if not len(automaton):
+        return []
     automaton.make_automaton()
     out = []
-    for k, (r, line) in enumerate(zip(rows, lines, strict=True)):
-        if r[0] not in busy:
-            continue
-        begin = stop = -1
-        for end, owner in automaton.iter(line):
-            if owner < r[1]:
-                at = end - WINDOW + 1
-                if at != stop:
-                    if stop > begin:
-                        out.append((k, begin, stop - begin))
-                    begin = at
-                stop = at + 1
-        if stop > begin:
-            out.append((k, begin, stop - begin))
+    for numbers, lines in streamed:
+        found = {segment: [(end - n + 1, n - WINDOW + 1, owner) for end, (owner, n) in automaton.iter(line)] for segment, line in lines.items()}
+        for k in numbers:
+            begin = stop = 0
+            for at, n, owner in found[rows[k][5]]:
+                if owner < rows[k][1]:
+                    if at > stop:
+                        if stop > begin:
+                            out.append((k, begin, stop - begin))
+                        begin = at
+                    stop = max(stop, at + n)
+            if stop > begin:
+                out.append((k, begin, stop - begin))
     return out
 
 
