@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import collapse_stars
 
@@ -15,7 +16,7 @@ def exact(a: Column, b: Column) -> Column:
     return a == b
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def folded(texts: pd.Series) -> pd.Series:
     """Trailing white space, case and marks removed. Arrow-batched: no built-in function decomposes by compatibility."""
     def one(t):

@@ -9,9 +9,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
+PARSED = T.StructType([T.StructField("fields", T.MapType(T.StringType(), T.StringType())), T.StructField("lists", T.MapType(T.StringType(), T.ArrayType(T.StringType()))), T.StructField("error", T.StringType())])
+
 
 def split_anywhere(md: Column) -> tuple[Column, Column, Column]:
     """Text before the first two `---`, between and after them; null where there are fewer or the first part is not blank."""
@@ -34,7 +37,7 @@ def split_prompt(md: Column) -> tuple[Column, Column]:
     return F.when(ok, F.regexp_extract(md, whole, 1)), F.when(ok, F.regexp_replace(F.regexp_extract(md, whole, 2), "^\n+", ""))
 
 
-@F.pandas_udf("struct<fields map<string,string>, lists map<string,array<string>>, error string>")
+@F.pandas_udf(PARSED)
 def parse_yaml(texts: pd.Series) -> pd.DataFrame:
     """String fields and string lists of a YAML mapping. Other scalars are errors: the types hold text alone."""
     import yaml
@@ -61,7 +64,7 @@ def parse_yaml(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["fields", "lists", "error"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def render_yaml(records: pd.DataFrame) -> pd.Series:
     """A record as `---`, YAML in declaration order, `---` and an empty line."""
     import yaml

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,6 @@ def repair_receipts(store: DataFrame) -> DataFrame:
 
 def dump_map(fields):
     """YAML of a string map, in its order."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(maps: pd.Series) -> pd.Series:
         import yaml

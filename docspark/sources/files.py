@@ -60,8 +60,10 @@ def append_telemetry(df: DataFrame, path: str) -> None:
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     """Well-formed lines; blank and malformed ones are left out."""
-    rows = spark.read.schema(TELEMETRY + ", event_date date, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return rows.where(F.col("_bad").isNull()).drop("_bad")
+    lines = spark.read.text(path)
+    day = [c for c in lines.columns if c != "value"]
+    parsed = lines.select(*day, F.from_json("value", TELEMETRY + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"), "value")
+    return parsed.where("trim(value) <> '' AND r._bad IS NULL").select("r.*", *day).drop("_bad")
 
 
 def malformed(lines: DataFrame, column: str = "line") -> DataFrame:
