@@ -62,21 +62,9 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
-class WordHashes(dict):
-    """bytes -> XXH64 of a word, kept for the words seen; bounded by clearing."""
-
-    def __init__(self, most: int = 700_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """XXH3 of each word. Hashing anew is cheaper than looking up words in a large table."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def rolling(values: np.ndarray, n: int) -> np.ndarray:

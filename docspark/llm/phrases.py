@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, table
+from .common import table, word_hashes
 from .repeats import Kind, covered, with_places
 
 WINDOW, GRAM = 13, 6
@@ -36,12 +36,10 @@ def split(text: str | None) -> list[bytes]:
 
 
 def _word_values():
-    hashes = WordHashes()
-
     def values(texts):
         words = [split(t) for t in texts]
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        units = np.concatenate([hashes.of(w) for w in words]) if words else np.empty(0, np.uint64)
+        units = np.concatenate([word_hashes(w) for w in words]) if words else np.empty(0, np.uint64)
         return units, lengths, lambda t, a, b: b" ".join(words[t][a:b])
 
     return values
@@ -57,7 +55,7 @@ class _Signs(dict):
 
 
 def locate(rows) -> list[tuple[int, int, int]]:
-    """(row, first window, windows) of windows that a smaller document has. rows: hash, doc, row, start, windows, segment, by hash and doc."""
+    """(row, first window, windows) of windows that a smaller document has. rows: hash, doc, row, starts, windows, segment, by hash and doc."""
     signs = _Signs()
     automaton = ahocorasick.Automaton()
     streamed: list[tuple[int, dict]] = []  # row numbers and different segments of the anchor values that hold a repeat

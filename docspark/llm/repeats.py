@@ -156,26 +156,38 @@ def _pairs(value, doc):
     return pa.record_batch([pa.array(value), pa.array(doc)], names=["hash", "doc"])
 
 
-SEGMENT = "hash long, doc long, row long, start long, windows int, segment binary"
+SEGMENT = "hash long, doc long, row long, starts array<long>, windows int, segment binary"
 
 
 def _segments(kind: Kind):
-    """Segments of recurring anchors. Of equal ones in this task's hands only the first has its text; the others are places already known to repeat."""
+    """Segments of recurring anchors, one row for all places of one in a document.
+
+    Of equal segments in this task's hands only the first document's goes on with its text;
+    the places of the others are already known to repeat and go on without one.
+    """
 
     def rows(held: list) -> Iterator[pa.RecordBatch]:
         held.sort(key=lambda r: r[1:4])
         first: dict = {}
+        known: dict = {}
         out = []
-        for r in held:
-            seen = first.setdefault((r[0], r[5]), r)
-            if seen is r or (not kind.within and seen[1] == r[1]):
-                out.append(r)
-            elif seen[1:4] != r[1:4]:
-                out.append((*r[:5], None))
+        for value, doc, row, start, windows, segment in held:
+            seen = first.get((value, segment))
+            if seen is None:
+                first[value, segment] = new = (value, doc, row, [start], windows, segment)
+                out.append(new)
+            elif kind.within or seen[1] != doc:
+                if seen[1:3] != (doc, row) or seen[3][0] != start:
+                    known.setdefault((doc, row, windows), []).append(start)
+            elif seen[2] == row:
+                seen[3].append(start)
+            else:
+                out.append((value, doc, row, [start], windows, segment))
+        out += [(0, doc, row, starts, windows, None) for (doc, row, windows), starts in known.items()]
         for k in range(0, len(out), OUT_ROWS):
             columns = list(zip(*out[k : k + OUT_ROWS], strict=True))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["hash", "doc", "row", "start", "windows", "segment"])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["hash", "doc", "row", "starts", "windows", "segment"])
 
     def run(batches):
         held, n = [], 0
@@ -203,15 +215,14 @@ def _segments(kind: Kind):
 
 
 def _located(kind: Kind):
-    """doc, row, start, windows of repeated windows; rows come sorted by hash, doc, row, start."""
+    """doc, row, start, windows of repeated windows; rows come sorted by hash, doc, row, starts."""
 
     def close(held):
         rows = [r for part in held for r in part]
-        known = [r for r in rows if r[5] is None]
+        found = [(r[1], r[2], s, r[4]) for r in rows if r[5] is None for s in r[3]]
         rows = [r for r in rows if r[5] is not None]
-        found = [(r[1], r[2], r[3], r[4]) for r in known]
         if rows:
-            found += [(rows[i][1], rows[i][2], rows[i][3] + a, n) for i, a, n in kind.locate(rows)]
+            found += [(rows[i][1], rows[i][2], s + a, n) for i, a, n in kind.locate(rows) for s in rows[i][3]]
         for k in range(0, len(found), 100_000):
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found[k : k + 100_000], strict=True)], names=["doc", "row", "start", "windows"])
 
@@ -258,7 +269,7 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
         by_doc = known.groupBy("doc").agg(F.collect_list("hash").alias("known"))  # at most the anchors of one text
         texts = own.select("doc", "text", F.xxhash64("text").alias("row")).join(by_doc, "doc")
         parts = texts.mapInArrow(_segments(kind), SEGMENT)
-        met = parts.repartition(F.when(F.col("segment").isNull(), F.xxhash64("doc", "start")).otherwise(F.col("hash"))).sortWithinPartitions("hash", "doc", "row", "start")
+        met = parts.repartition(F.when(F.col("segment").isNull(), F.xxhash64("doc", "windows")).otherwise(F.col("hash"))).sortWithinPartitions("hash", "doc", "row", "starts")
         return cut(met.mapInArrow(_located(kind), "doc long, row long, start long, windows long"))
 
     found = places()

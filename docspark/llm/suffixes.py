@@ -130,7 +130,7 @@ def equal_groups(data: np.ndarray, order: np.ndarray, usable: np.ndarray, depth:
 
 
 def locate(rows) -> list[tuple[int, int, int]]:
-    """(row, first window, windows) of windows that start earlier elsewhere. rows: hash, doc, row, start, windows, segment, by hash, doc, row and start."""
+    """(row, first window, windows) of windows that start earlier elsewhere. rows: hash, doc, row, starts (one), windows, segment, by hash, doc, row and start."""
     out, first, several = [], {}, {}
     for k, r in enumerate(rows):
         seen = first.setdefault((r[0], r[5]), k)
