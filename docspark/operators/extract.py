@@ -119,3 +119,36 @@ def pages(documents: DataFrame, renderer: Callable | None = None) -> DataFrame:
             yield pd.DataFrame(out, columns=["key", "page_no", "png", "error"])
 
     return documents.select("key", "content", "mode").mapInPandas(run, "key string, page_no int, png binary, error string")
+
+
+def specialist(doc_type: str) -> Callable:
+    """A rule-based extractor of one type: its mapper's labels, read from `label: value` lines."""
+    from .legacy import mapping
+
+    wanted = [(name, [x.lower() for x in labels]) for name, _, _, labels in mapping(doc_type)]
+
+    def call(row: dict, tier: str) -> dict[str, str]:
+        found: dict[str, str] = {}
+        for line in (row["text"] or "").split("\n"):
+            label, colon, value = line.partition(":")
+            if colon and value.strip():
+                found.setdefault(label.strip(" -*").lower(), value.strip())
+        out = {name: next((found[x] for x in labels if x in found), "") for name, labels in wanted}
+        return {"doc_type": doc_type, **{k: v for k, v in out.items() if v}}
+
+    return call
+
+
+def registry() -> dict[str, Callable]:
+    """doc_type -> extractor, for all fifteen types."""
+    from ..schemas import DOC_TYPES
+
+    return {t: specialist(t) for t in DOC_TYPES}
+
+
+def by_registry(row: dict, tier: str) -> dict[str, str]:
+    """The registry's extractor for the row's type; an unknown type is an invalid answer."""
+    calls = registry()
+    if row["doc_type"] not in calls:
+        raise Invalid(f"no extractor for {row['doc_type']}")
+    return calls[row["doc_type"]](row, tier)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import codes, dates, match, pii
 from ..functions import text as tx
-from ..operators import evaluate, extract, gates, keyed, legacy, receipts, records
+from ..operators import classify, evaluate, extract, gates, keyed, legacy, receipts, records
 from ..sources import files
 from . import duck, inputs
 from .inputs import case, text
@@ -286,3 +286,15 @@ _EXTRACT = f"SELECT {text('doc_id')} AS key, 'Other' AS doc_type, concat('Descri
 query("batch_extract_rows", _EXTRACT, lambda d: extract.extract(d, extract.rule_extractor).select("key", "status", F.try_element_at("fields", F.lit("description")).alias("description"), F.try_element_at("fields", F.lit("notes")).alias("notes"), F.size("attempts").alias("attempts")), "SELECT key, 'passed' AS status, split_part(text, chr(10), 1)[14:] AS description, split_part(text, chr(10), 2)[8:] AS notes, 1 AS attempts FROM @src")
 query("page_split", f"SELECT {text('page_id')} AS key, concat(url, chr(12), 'second', chr(12), 'third') AS content, {case('page_id', [chr(39) + 'page1' + chr(39), chr(39) + 'all_pages' + chr(39)])} AS mode FROM {{pages}}", lambda d: extract.pages(d.withColumn("content", F.encode("content", "utf-8"))).select("key", "page_no", F.decode("png", "utf-8").alias("page")), "SELECT key, CAST(i - 1 AS INTEGER) AS page_no, string_split(content, chr(12))[i] AS page FROM @src, unnest(CASE WHEN mode = 'page1' THEN [1] ELSE [1, 2, 3] END) AS u(i)")
 query("last_message", "SELECT conv_id, turn, role, text FROM {conversations}", lambda d: d.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m")).select("conv_id", F.md5(extract.last_message(F.col("m"))).alias("said")), "SELECT conv_id, md5(coalesce(arg_max(text, turn) FILTER (WHERE role = 'assistant' AND text <> ''), '')) AS said FROM @src GROUP BY conv_id")
+_CUE_TEXTS = ["P<NZLDOE<<ANN passport", "Utility bill, statement period, closing balance, service address", "Statement period 1-2 closing balance", "付款人 收款人 金额 CNY", "Companies House registration number, directors", "passport", "Are you a PEP? declarant", "applicant, application date", "beneficial owner UBO directors company number"]
+query(
+    "classifier_cues", f"SELECT p_partkey AS k, concat({case('p_partkey', [chr(39) + x + chr(39) for x in _CUE_TEXTS])}, ' ', p_name) AS text FROM {{part}}",
+    lambda d: classify.classify(d).drop("text"),
+    "SELECT k, CASE k % 9 WHEN 0 THEN 'Passport' WHEN 1 THEN 'BankStatement' WHEN 2 THEN 'BankStatement' WHEN 3 THEN 'PaymentReceipt' WHEN 4 THEN 'CompanyExtract' WHEN 6 THEN 'PEP_Declaration' WHEN 7 THEN 'ApplicationForm' ELSE 'Other' END AS doc_type, CASE k % 9 WHEN 0 THEN 'NZ' WHEN 3 THEN 'CN' WHEN 4 THEN 'GB' ELSE 'OTHER' END AS jurisdiction, '' AS doc_subtype FROM @src",
+)
+query(
+    "label_priority", f"SELECT o_orderkey AS k, {case('o_orderkey', ['concat(' + chr(39) + '付款人: A' + chr(39) + ', chr(10), ' + chr(39) + 'Payer: B' + chr(39) + ')', chr(39) + 'Payer: B' + chr(39), chr(39) + '收款人: C' + chr(39)])} AS body, o_orderpriority AS signer, {case('o_orderkey', [chr(39) + 'Manager' + chr(39), 'CAST(NULL AS STRING)'])} AS title FROM {{orders}}",
+    lambda d: d.select("k", F.coalesce(F.nullif(receipts.cn_receipt(F.col("body"))["receipt_debit_account_name"], F.lit("")), F.regexp_extract("body", "(?m)^Payer: (.*)$", 1)).alias("debit"), receipts.cn_receipt(F.col("body"))["receipt_credit_account_name"].alias("credit"), F.concat_ws(", ", "signer", "title").alias("authority")),
+    "SELECT k, CASE k % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE '' END AS debit, CASE k % 3 WHEN 2 THEN 'C' ELSE '' END AS credit, concat_ws(', ', signer, title) AS authority FROM @src",
+)
+query("registry_extract", f"SELECT {text('c_custkey')} AS key, {case('c_custkey', [chr(39) + t + chr(39) for t in ('Passport', 'BankStatement', 'Unheard')])} AS doc_type, concat('- Full Name: ', c_name, chr(10), 'Account Number: 12-3', chr(10), '**Passport Number: E', {text('c_custkey')}) AS text FROM {{customer}}", lambda d: extract.extract(d, extract.by_registry).select("key", "status", F.coalesce(F.try_element_at("fields", F.lit("passport_number")), F.lit("")).alias("passport_number"), F.coalesce(F.try_element_at("fields", F.lit("account_number")), F.lit("")).alias("account_number")), "SELECT key, CASE WHEN doc_type = 'Unheard' THEN 'failed' ELSE 'passed' END AS status, CASE WHEN doc_type = 'Passport' THEN 'E' || key ELSE '' END AS passport_number, CASE WHEN doc_type = 'BankStatement' THEN '12-3' ELSE '' END AS account_number FROM @src")
