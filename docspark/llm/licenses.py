@@ -117,3 +117,26 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
 
 def op2_license_scan(spark, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+def op2_sql() -> str:
+    """The same by exact containment over all windows, without signatures."""
+    rows = ", ".join(f"('{n}', {shingles(words(t))!r})" for n, t in sorted(TEMPLATES.items()))
+    return f"""
+WITH templates AS (
+  SELECT template, parts, len(parts) AS m, len(parts) + (len(parts) + 1) // 2 AS span, greatest(1, (len(parts) + 1) // 2) AS step FROM (VALUES {rows}) v(template, parts)
+), words AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL
+), runs AS (
+  SELECT doc_id, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS h FROM words WHERE len(w) >= 5
+), near AS (
+  SELECT * FROM runs JOIN templates ON list_has_any(h, parts)
+), windows AS (
+  SELECT doc_id, template, parts, h, span, unnest(range(0, CAST(greatest(0, ceil((len(h) - span) / step)) AS BIGINT) * step + 1, step)) AS start FROM near
+), scored AS (
+  SELECT doc_id, template, start, len(list_intersect(h[start + 1:start + span], parts)) / len(parts) AS containment FROM windows
+), each AS (
+  SELECT doc_id, template, start, max(containment) AS containment FROM scored WHERE containment >= {THRESHOLD} GROUP BY ALL
+)
+SELECT doc_id, template, round(max(containment), 6) AS containment, CAST(min(start) AS BIGINT) AS first_word, count(*) AS n_windows FROM each GROUP BY doc_id, template
+"""

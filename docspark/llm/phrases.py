@@ -146,3 +146,23 @@ def remove_phrases(docs: DataFrame) -> DataFrame:
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return phrase_counts(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), starts AS (
+  SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM docs WHERE len(w) >= 13
+), windows AS (
+  SELECT r, coalesce(doc_id, 9223372036854775807) AS d, p, array_to_string(w[p:p + 12], ' ') AS k FROM starts
+), later AS (
+  SELECT r, p FROM (SELECT r, p, d, min(d) OVER (PARTITION BY k) AS first FROM windows) WHERE first < d
+), gone AS (
+  SELECT DISTINCT r, unnest(range(p, p + 13)) AS i FROM later
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (r)
+"""

@@ -17,6 +17,8 @@ QUERIES = {
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": licenses.op2_sql(),
+    "op3_substring_dedup": phrases.OP3_SQL,
     "op5_exact_top_k": topk.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
     "op7_mixing": mixing.OP7_SQL,

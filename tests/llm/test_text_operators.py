@@ -430,3 +430,16 @@ def test_mixing(docs, none, percent, epochs):
         assert taken.columns == docs.columns
         assert Counter(r["doc_id"] for r in taken.collect()) == Counter(r["doc_id"] for r in got if r["copies"])
     assert mixing.mix(none).count() == 0 and mixing.take(none).count() == 0
+
+
+def test_sql_agrees(spark, docs):
+    import duckdb
+
+    con = duckdb.connect()
+    r = random.Random(9)
+    texts = [(i, f"{' '.join(r.choice(WORDS) for _ in range(r.randrange(30)))} {text} {' '.join(r.choice(WORDS) for _ in range(r.randrange(30)))}") for i, text in enumerate(list(licenses.TEMPLATES.values()) * 3)]
+    licensed = spark.createDataFrame(texts + [(900, None), (901, "")], "doc_id long, text string")
+    for frame, run, sql in ((licensed, licenses.scan, licenses.op2_sql()), (docs.select("doc_id", "text"), phrases.phrase_counts, phrases.OP3_SQL)):
+        con.register("documents", frame.toPandas().astype({"doc_id": "Int64"}))
+        want = con.execute(sql).fetchall()
+        assert Counter(map(str, map(tuple, run(frame).collect()))) == Counter(map(str, want)) and len(want) > 20
