@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, word_hashes
-from .repeats import Kind, covered, with_places
+from .repeats import HOT, Kind, covered, with_places
 
 WINDOW, GRAM = 13, 6
 
@@ -133,10 +133,10 @@ def _rewrite(batches):
         yield pa.RecordBatch.from_arrays(columns, names=[n for n in batch.schema.names if n != "_places"]).filter(pa.array(keep, pa.bool_()))
 
 
-def phrase_counts(docs: DataFrame) -> DataFrame:
+def phrase_counts(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256: one row per row of docs (doc_id, text)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return with_places(own, WORDS).mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return with_places(own, WORDS, hot).mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_phrases(docs: DataFrame) -> DataFrame:

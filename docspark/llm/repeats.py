@@ -14,6 +14,10 @@ Hot values: a task first compares what it has read itself. Anchor values it has
 known to recur, so only one row for each goes to the common exchange, the others are dealt
 out evenly; of equal segments only the first goes on, the places of the others are already
 known. A common passage so costs a row per task and anchor, not one per document.
+Short phrases that very many documents share in different surroundings would still gather
+segments of different text under one anchor. Anchors met in more than `hot` documents
+therefore file each window on its own, under the hash of the whole window: then only equal
+windows meet, and no task gets more than `hot` different segments of one anchor.
 
 Step results are written to the shared folder, so a lost executor costs one step at most.
 """
@@ -25,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +38,7 @@ from .common import cut, drop, ordering_id, release, rolling, text_groups
 HELD = 600_000  # anchors a task compares at a time
 SHARD_BYTES = 3_000_000  # text of the segments located at a time
 OUT_ROWS = 20_000
+HOT = 20_000  # documents of an anchor that one task takes
 
 
 @dataclass(frozen=True)
@@ -81,7 +87,7 @@ def anchors(values: np.ndarray, lengths: np.ndarray, size: int, gram: int):
 
 
 def _seen(kind: Kind):
-    """hash, doc, flag: 0 the task's only sighting, 1 its first of several, 2 a further one."""
+    """hash, doc, flag (0 the task's only sighting, 1 its first of several, 2 a further one) and n: documents of the hash, with the first."""
 
     def rows(held) -> Iterator[pa.RecordBatch]:
         value, doc = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -94,10 +100,10 @@ def _seen(kind: Kind):
         if kind.within:
             several |= np.bincount(group) > 1
         flag = np.where(new, several[group].astype(np.int8), np.int8(2))
-        value, doc, flag = value[other], doc[other], flag[other]
-        value = value.view(np.int64)
+        n = np.where(new, np.bincount(group, other.astype(np.int64)).astype(np.int64)[group], 0)
+        value, doc, flag, n = value[other].view(np.int64), doc[other], flag[other], n[other]
         for k in range(0, len(value), 100_000):
-            yield pa.record_batch([pa.array(x[k : k + 100_000]) for x in (value, doc, flag)], names=["hash", "doc", "flag"])
+            yield pa.record_batch([pa.array(x[k : k + 100_000]) for x in (value, doc, flag, n)], names=["hash", "doc", "flag", "n"])
 
     def run(batches):
         held, n = [], 0
@@ -118,42 +124,47 @@ def _seen(kind: Kind):
 
 
 def _recurring(batches):
-    """Of rows sorted by hash, those whose hash is met again or flagged; the last hash waits for the next batch."""
+    """hash, doc, n of rows sorted by hash whose hash is met again or flagged. One row of each has n, the number of its documents.
+
+    Further sightings go on at once. Of the others the last hash of a batch waits for the
+    next one; if it has several rows, all but one go on.
+    """
     keep = None
     for batch in batches:
-        value, doc, flag = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        further = rows[2] == 2
+        if further.any():
+            yield _pairs(rows[0][further], rows[1][further], rows[3][further])
+            rows = [x[~further] for x in rows]
         if keep is not None:
-            value, doc, flag = (np.concatenate(x) for x in zip(keep, (value, doc, flag), strict=True))
+            rows = [np.concatenate(x) for x in zip(keep, rows, strict=True)]
+        value, doc, flag, n = rows
         if not len(value):
             continue
         edge = int(np.searchsorted(value, value[-1]))  # rows of the last hash
-        if edge == 0 and np.count_nonzero(flag < 2) > 1:  # one hash fills the batch: it recurs, and one row is enough to say so
-            yield _pairs(value[1:], doc[1:])
-            keep = value[:1], doc[:1], np.ones(1, flag.dtype)
-            continue
-        keep = value[edge:], doc[edge:], flag[edge:]
-        out = _hits(value[:edge], doc[:edge], flag[:edge])
-        if out is not None:
-            yield out
+        yield from _hits(*(x[:edge] for x in rows))
+        keep = [x[edge : edge + 1] for x in rows]
+        if len(value) - edge > 1:
+            yield _pairs(value[edge + 1 :], doc[edge + 1 :], np.zeros(len(value) - edge - 1, np.int64))
+            keep[2:] = np.ones(1, flag.dtype), np.array([n[edge:].sum()], np.int64)
     if keep is not None:
-        out = _hits(*keep)
-        if out is not None:
-            yield out
+        yield from _hits(*keep)
 
 
-def _hits(value, doc, flag):
+def _hits(value, doc, flag, n):
     if not len(value):
-        return None
+        return
     new = np.concatenate([[True], value[1:] != value[:-1]])
     group = np.cumsum(new) - 1
-    again = np.bincount(group, (flag < 2).astype(np.int64)) > 1
-    again |= np.bincount(group, (flag > 0).astype(np.int64)) > 0
+    again = (np.bincount(group) > 1) | (np.bincount(group, flag.astype(np.int64)) > 0)
     hit = again[group]
-    return _pairs(value[hit], doc[hit]) if hit.any() else None
+    if hit.any():
+        total = np.bincount(group, n).astype(np.int64)
+        yield _pairs(value[hit], doc[hit], np.where(new, total[group], 0)[hit])
 
 
-def _pairs(value, doc):
-    return pa.record_batch([pa.array(value), pa.array(doc)], names=["hash", "doc"])
+def _pairs(value, doc, n):
+    return pa.record_batch([pa.array(value), pa.array(doc), pa.array(n.astype(np.int64))], names=["hash", "doc", "n"])
 
 
 SEGMENT = "hash long, doc long, row long, starts array<long>, windows int, segment binary"
@@ -192,7 +203,7 @@ def _segments(kind: Kind):
     def run(batches):
         held, n = [], 0
         values = kind.values()
-        for docs, texts, row, known in text_groups(batches, ["doc", "text", "row", "known"]):
+        for docs, texts, row, known, hot in text_groups(batches, ["doc", "text", "row", "known", "hot"]):
             units, lengths, cutter = values(texts)
             value, text, first, number = anchors(units, lengths, kind.size, kind.gram)
             if not len(value):
@@ -201,7 +212,14 @@ def _segments(kind: Kind):
             signed = value.view(np.int64)
             at = np.minimum(np.searchsorted(recur, signed), len(recur) - 1)
             hit = recur[at] == signed
+            alone = set().union(*filter(None, hot))
             for h, t, a, w in zip(signed[hit].tolist(), text[hit].tolist(), first[hit].tolist(), number[hit].tolist(), strict=True):
+                if h in alone:
+                    for i in range(a, a + w):
+                        segment = cutter(t, i, i + kind.size)
+                        held.append((xxhash.xxh3_64_intdigest(segment) - (1 << 63), docs[t], row[t], i, 1, segment))
+                        n += len(segment) + 60
+                    continue
                 segment = cutter(t, a, a + w + kind.size - 1)
                 held.append((h, docs[t], row[t], a, w, segment))
                 n += len(segment) + 60
@@ -249,7 +267,7 @@ def _located(kind: Kind):
     return run
 
 
-def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
+def repeated(docs: DataFrame, kind: Kind, hot: int = HOT) -> DataFrame:
     """doc, row, places (array of start, windows): the windows of docs (doc_id, text) that occur earlier."""
     spark = docs.sparkSession
     own = docs.where("text IS NOT NULL").select(ordering_id().alias("doc"), F.col("text").cast("string").alias("text"))
@@ -258,15 +276,17 @@ def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
         return F.when(flag, F.xxhash64("doc", "hash")).otherwise(F.col("hash"))
 
     def recurring():
-        seen = own.mapInArrow(_seen(kind), "hash long, doc long, flag byte")
+        seen = own.mapInArrow(_seen(kind), "hash long, doc long, flag byte, n long")
         met = seen.repartition(spread(F.col("flag") == 2)).sortWithinPartitions("hash")
-        return cut(met.mapInArrow(_recurring, "hash long, doc long"))
+        return cut(met.mapInArrow(_recurring, "hash long, doc long, n long"))
 
     known = recurring()
     release(spark)
 
     def places():
-        by_doc = known.groupBy("doc").agg(F.collect_list("hash").alias("known"))  # at most the anchors of one text
+        widely = known.where(F.col("n") > hot).select("hash", F.col("hash").alias("hot")).distinct()
+        marked = known.join(widely, "hash", "left") if widely.limit(1).count() else known.withColumn("hot", F.lit(None).cast("long"))
+        by_doc = marked.groupBy("doc").agg(F.collect_list("hash").alias("known"), F.collect_set("hot").alias("hot"))  # at most the anchors of one text
         texts = own.select("doc", "text", F.xxhash64("text").alias("row")).join(by_doc, "doc")
         parts = texts.mapInArrow(_segments(kind), SEGMENT)
         met = parts.repartition(F.when(F.col("segment").isNull(), F.xxhash64("doc", "windows")).otherwise(F.col("hash"))).sortWithinPartitions("hash", "doc", "row", "starts")
@@ -287,8 +307,8 @@ def covered(places, size: int, n: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def with_places(docs: DataFrame, kind: Kind) -> DataFrame:
+def with_places(docs: DataFrame, kind: Kind, hot: int = HOT) -> DataFrame:
     """docs and their places. Rows of one id and text share them."""
-    found = repeated(docs, kind)
+    found = repeated(docs, kind, hot)
     keyed = docs.withColumn("_doc", ordering_id()).withColumn("_row", F.xxhash64(F.col("text").cast("string")))
     return keyed.join(found.withColumnsRenamed({"doc": "_doc", "row": "_row", "places": "_places"}), ["_doc", "_row"], "left").drop("_doc", "_row")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .repeats import Kind, covered, with_places
+from .repeats import HOT, Kind, covered, with_places
 
 WINDOW, GRAM = 100, 32
 UNITS = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -184,10 +184,10 @@ def _digest(batches):
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def byte_counts(docs: DataFrame) -> DataFrame:
+def byte_counts(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row of docs (doc_id, text)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return with_places(own, BYTES).mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_places(own, BYTES, hot).mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -91,6 +91,8 @@ def test_phrases(docs, none):
     assert Counter(map(tuple, got.collect())) == want
     assert sum(k[2] for k in want) > 500
     same(phrases.phrase_counts(clashing(docs)), got)
+    for hot in (1, 5):  # windows of widely met anchors on their own
+        same(phrases.phrase_counts(docs, hot), got)
     assert phrases.phrase_counts(none).count() == 0
     left = phrases.remove_phrases(docs)
     assert left.columns == docs.columns
@@ -109,6 +111,8 @@ def test_suffixes(docs, none):
     for r in got.collect():
         assert tuple(r)[1:] == truth[r["doc_id"]], r
     same(suffixes.byte_counts(clashing(docs)), got)
+    for hot in (1, 5):
+        same(suffixes.byte_counts(docs, hot), got)
     assert suffixes.byte_counts(none).count() == 0
 
 
@@ -122,6 +126,21 @@ def test_two_stage_order(letters):
         assert sorted(order.tolist()) == list(range(len(data))) and keys == sorted(keys)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 1000])
+def test_recurring_rows_in_any_batches(size):
+    import pyarrow as pa
+
+    rows = [(1, 10, 0, 1), (2, 11, 0, 1), (2, 12, 0, 1), (2, 13, 1, 3), (3, 14, 2, 0), (3, 15, 2, 0), (4, 16, 1, 2), (5, 17, 0, 1)]
+    rows += [(6, i, 0, 1) for i in range(20, 30)] + [(7, i, 2, 0) for i in range(30, 40)] + [(7, 40, 0, 1), (8, 50, 0, 1)]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int8(), pa.int64()), strict=True)], names=["hash", "doc", "flag", "n"])
+    got = [r for b in repeats._recurring(table.to_batches(max_chunksize=size)) for r in b.to_pylist()]
+    assert sorted(r["doc"] for r in got) == sorted({r[1] for r in rows} - {10, 17, 40, 50})
+    counts = Counter()
+    for r in got:
+        counts[r["hash"]] = max(counts[r["hash"]], r["n"])
+    assert (counts[2], counts[4], counts[6]) == (5, 2, 10)
+
+
 def test_equal_windows_share_an_anchor():
     r = np.random.default_rng(3)
     values = r.integers(0, 4, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
