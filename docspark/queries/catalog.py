@@ -217,7 +217,7 @@ query("upsert_last_writer", "SELECT user_id, event_type, event_id, value FROM {e
 query("attempt_ordinals", "SELECT user_id, event_id, ts FROM {events}", lambda d: keyed.ordinals(d, ["user_id"], [F.col("ts"), F.col("event_id")]).select("user_id", "event_id", "ordinal"), "SELECT user_id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INTEGER) AS ordinal FROM @src")
 query("newest_run", "SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day, o_orderpriority FROM {orders}", lambda d: files.newest(d.withColumn("name", F.concat_ws("-", "day", F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))), "name"), "SELECT *, day || '-' || lpad(CAST(o_orderkey AS STRING), 12, '0') AS name FROM @src ORDER BY day DESC, o_orderkey DESC LIMIT 1")
 _NOW = f"SELECT doc_id AS name, {case('doc_id', [chr(39) + '1.0' + chr(39), chr(39) + '1.1' + chr(39)])} AS version, text AS body FROM {{documents}}"
-_BEFORE = "SELECT doc_id + 3 AS name, '1.0' AS version, text AS body FROM {documents} UNION ALL SELECT doc_id AS name, '1.0' AS version, text AS body FROM {documents} WHERE doc_id < 3"
+_BEFORE = f"SELECT {case('doc_id', ['doc_id + 1000000000'] + ['doc_id'] * 4)} AS name, '1.0' AS version, {case('doc_id', ['concat(text, ' + chr(39) + 'x' + chr(39) + ')', 'text', 'text'])} AS body FROM {{documents}}"
 _HASHED = lambda d: d.select("name", "version", F.sha2("body", 256).alias("body_sha256"))
 query2("baseline_hash_diff", {"now": _NOW, "old": _BEFORE}, lambda now, old: keyed.baseline_diff(_HASHED(now), _HASHED(old)), "SELECT coalesce(a.name, b.name) AS name, CASE WHEN b.h IS NULL THEN 'new' WHEN a.h IS NULL THEN 'removed' WHEN a.version <> b.version THEN 'version' WHEN a.h <> b.h THEN 'body' ELSE 'same' END AS change FROM (SELECT name, version, sha256(body) AS h FROM @now) a FULL JOIN (SELECT name, version, sha256(body) AS h FROM @old) b ON a.name = b.name")
 query("keys_file_filter", f"SELECT page_id, {case('page_id', ['concat(' + chr(39) + '  ' + chr(39) + ', url, ' + chr(39) + ' ' + chr(39) + ')', chr(39) + '   ' + chr(39), 'concat(' + chr(39) + ' # ' + chr(39) + ', url)', 'url'])} AS value FROM {{pages}}", lambda d: files.keys_of(d), "SELECT trim(value) AS key FROM @src WHERE trim(value) <> '' AND NOT starts_with(trim(value), '#')")
