@@ -46,15 +46,27 @@ ACCOUNT = r"\b(from|to)\s+account\s+(.+?)\s*\(account\s+number\s+([\d-]+)\)"
 DAY = r"\bon\s+(?:[A-Za-z]+,\s+)?(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})\b"
 
 
-def nz_receipt(body: Column) -> dict[str, Column]:
-    """Seven receipt fields of a narrative sentence, and `error`: '' or why the body is no such sentence."""
-    amount = lambda i: F.regexp_extract(body, "(?iUd)" + AMOUNT, i)
-    accounts = F.regexp_extract_all(body, F.lit("(?iUd)" + ACCOUNT), 0)
-    last = lambda way: F.try_element_at(F.filter(accounts, lambda x: F.lower(x).startswith(way)), F.lit(-1))
+def nz_pieces(body: Column) -> Column:
+    """The parts of a narrative body that its fields are read from: amount, all accounts, day."""
+    return F.struct(
+        F.regexp_extract(body, "(?iUd)" + AMOUNT, 0).alias("amount"), F.regexp_extract_all(body, F.lit("(?iUd)" + ACCOUNT), 0).alias("accounts"), F.regexp_extract(body, "(?Ud)" + DAY, 0).alias("day")
+    )
+
+
+def with_pieces(df: DataFrame, body: str) -> DataFrame:
+    """df with `_nz`. Exploding one element keeps the optimizer from matching the body anew for each field."""
+    return df.select("*", F.explode(F.array(nz_pieces(F.col(body)))).alias("_nz"))
+
+
+def nz_receipt(pieces: Column) -> dict[str, Column]:
+    """Seven receipt fields from nz_pieces, and `error`: '' or why the body is no such sentence."""
+    amount = lambda i: F.regexp_extract(pieces["amount"], "(?iUd)" + AMOUNT, i)
+    last = lambda way: F.try_element_at(F.filter(pieces["accounts"], lambda x: F.lower(x).startswith(way)), F.lit(-1))
     part = lambda way, i: F.regexp_extract(last(way), "(?iUd)" + ACCOUNT, i)
-    day = lambda i: F.regexp_extract(body, "(?Ud)" + DAY, i)
+    day = lambda i: F.regexp_extract(pieces["day"], "(?Ud)" + DAY, i)
     time = long_day(day(1), day(2), day(3))
-    error = F.when(amount(2) == "", "amount").when(last("from").isNull() | last("to").isNull(), "accounts").when(day(3) == "", "date").when(time.isNull(), "calendar").otherwise("")
+    found = F.coalesce(pieces["amount"], F.lit("")) != ""
+    error = F.when(~found, "amount").when(last("from").isNull() | last("to").isNull(), "accounts").when(pieces["day"] == "", "date").when(time.isNull(), "calendar").otherwise("")
     return {
         "receipt_amount": normalise_amount(amount(2)), "receipt_currency": F.upper(amount(1)), "receipt_time": time,
         "receipt_debit_account_name": strip_quotes(part("from", 2)), "receipt_debit_account_number": part("from", 3),
@@ -68,9 +80,9 @@ def parse_cn(df: DataFrame, body: str = "body") -> DataFrame:
 
 def parse_nz(df: DataFrame, body: str = "body") -> DataFrame:
     """df with the narrative fields and `error`; fields are null where there is an error."""
-    parsed = nz_receipt(F.col(body))
+    parsed = nz_receipt(F.col("_nz"))
     ok = parsed["error"] == ""
-    return df.select("*", *[(c if n == "error" else F.when(ok, c)).alias(n) for n, c in parsed.items()])
+    return with_pieces(df, body).select(*df.columns, *[(c if n == "error" else F.when(ok, c)).alias(n) for n, c in parsed.items()])
 
 
 def any_filled(fields: list[Column]) -> Column:
@@ -79,8 +91,8 @@ def any_filled(fields: list[Column]) -> Column:
 
 def parse_either(df: DataFrame, body: str = "body") -> DataFrame:
     """df with the receipt fields and layout: cn if any label is found, else nz, else none (an error row with empty fields)."""
-    cn, nz = cn_receipt(F.col(body)), nz_receipt(F.col(body))
-    both = df.select("*", *[c.alias("_cn_" + n) for n, c in cn.items()], *[c.alias("_nz_" + n) for n, c in nz.items()])
+    cn, nz = cn_receipt(F.col(body)), nz_receipt(F.col("_nz"))
+    both = with_pieces(df, body).select(*df.columns, *[c.alias("_cn_" + n) for n, c in cn.items()], *[c.alias("_nz_" + n) for n, c in nz.items()])
     layout = F.when(any_filled([F.col("_cn_" + n) for n in FIELDS]), "cn").when(F.col("_nz_error") == "", "nz").otherwise("none")
     laid = both.withColumn("layout", layout)
     pick = lambda n: F.when(F.col("layout") == "cn", F.col("_cn_" + n)).when(F.col("layout") == "nz", F.col("_nz_" + n) if n in nz else F.lit("")).otherwise("")
