@@ -1,13 +1,16 @@
 """Quality rules: base counts of each text and bands of n-gram perplexity.
 
-The language model is an interpolated modified Kneser-Ney model of 4-grams of character
-classes (32 symbols: a-z, other Latin letters, letters beyond Latin, digits, other signs,
-white space, text start). Spark counts the 4-grams of all texts; the number of different
-ones is at most 32**4 a language, so the finished model is small whatever the corpus holds.
-It is kept as sorted arrays of n-gram hashes with log probabilities and back-off weights.
-
-Each language gets its own model and its own lower and upper perplexity band, from
-quartiles over all documents: a document is rejected where its log perplexity lies further
+Two interpolated modified Kneser-Ney models of 4-grams are estimated for each language, from
+all texts: one over 32 character classes (a-z, other Latin letters, letters beyond Latin,
+digits, other signs, white space, text start; figure log_ppl), one over full code points with
+nothing folded (figure text_log_ppl), which tells apart scripts, letters and signs that share
+a class. Spark counts the 4-grams; the second model has as many as the texts hold, so its
+lower orders, discounts and back-off sums are joins and windows, and nothing of it passes
+through the driver. The log probabilities of all counted 4-grams are kept as sorted shards in
+the shared folder; a task that scores texts loads the shards of their languages one by one.
+
+Each language gets its own lower and upper perplexity band for each model, from
+quartiles over all documents: a document is rejected where a log perplexity lies further
 than `reach` interquartile ranges outside the middle half. Short texts vary more, so the
 distance allowed grows by `short / sqrt(symbols)`. Null languages form one group; beyond
 MAX_LANGUAGES values, the rarest share one group (no row is left out).
@@ -19,19 +22,23 @@ gives one output row, repeated ids included; other columns are ignored.
 from __future__ import annotations
 
 import unicodedata
-import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.fs
+import pyarrow.parquet
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, rolling, table, text_groups, word_hashes
+from .common import WHITE, cut, drop, rolling, table, text_groups, word_hashes
 
 BITS, ORDER, MAX_LANGUAGES = 5, 4, 16
 SIZE = 1 << (BITS * ORDER)
 CONTEXT = 8  # marks the keys of back-off weights
 POOL = "\x00rest"
+POINT, START = 21, 0x110000  # bits of a code point, and the sign before a text
+SHARD_ROWS, HELD_BYTES = 1_000_000, 96_000_000
+CLASS, FULL = "c", "p"  # first letter of a model's name
 SYMBOLS = "#*$%&|<>"
 METRICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 
@@ -150,20 +157,72 @@ def base_counts(text: str | None) -> tuple:
     return (n, len(text) - sum(map(text.count, WHITE)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated, n < 20 or 100 * repeated > 30 * n)
 
 
+def _point_groups(texts: list[str]):
+    """Slices of the texts' characters as (code of the 4-gram at each character, alphabet, bits), and the number of characters of each text.
+
+    Codes hold ranks in the slice's alphabet, so four of them fit 64 bits.
+    """
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    seq = np.full(len(points) + 3 * len(texts), START, np.uint32)
+    at = np.arange(len(points)) + np.repeat(3 * np.arange(1, len(texts) + 1), lengths)
+    seq[at] = points
+
+    def ranked(part: np.ndarray, where: np.ndarray):
+        present = np.zeros(START + 1, bool)
+        present[part] = True
+        alphabet = np.flatnonzero(present)
+        bits = max(1, int(len(alphabet) - 1).bit_length())
+        rank = np.zeros(START + 1, np.uint32 if bits <= 8 else np.uint64)
+        rank[alphabet] = np.arange(len(alphabet))
+        r = rank[part]
+        codes = (r[:-3] << (3 * bits)) | (r[1:-2] << (2 * bits)) | (r[2:-1] << bits) | r[3:]
+        return codes[where - 3], alphabet, bits
+
+    def slices():
+        step = len(at) if len(at) <= 65_000 or len(np.unique(points)) < 65_000 else 16_000
+        for k in range(0, len(at), step):
+            first, last = at[k], at[min(k + step, len(at)) - 1]
+            yield ranked(seq[first - 3 : last + 1], at[k : k + step] - first + 3)
+
+    return slices(), lengths
+
+
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of n over equal (a, b)."""
+    a, b, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((b, a))
+    a, b, n = a[order], b[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[new], b[new], np.add.reduceat(n, new)
+
+
+def point_grams(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The 4-grams of code points, two in each of a and b, with their counts."""
+    out = []
+    for codes, alphabet, bits in _point_groups(texts)[0]:
+        code, n = np.unique(codes, return_counts=True)
+        one = [alphabet[(code >> code.dtype.type(k * bits)) & code.dtype.type((1 << bits) - 1)].astype(np.int64) for k in (3, 2, 1, 0)]
+        out.append((one[0] << POINT | one[1], one[2] << POINT | one[3], n))
+    return out
+
+
 def _group(lang, names: set):
     return lang if lang in names else POOL if lang is not None else ""
 
 
 def _count(names: frozenset):
     def run(batches):
-        counts: dict[str, np.ndarray] = {}
+        parts: dict[str, list] = {}
+        held = 0
 
         def rows():
-            for lang, dense in counts.items():
-                at = np.flatnonzero(dense)
-                for k in range(0, len(at), 200_000):
-                    part = at[k : k + 200_000]
-                    yield pa.record_batch([pa.array([lang] * len(part)), pa.array(part.astype(np.int32)), pa.array(dense[part])], names=["model", "code", "n"])
+            for model, own in parts.items():
+                a, b, n = _merged(own)
+                for k in range(0, len(a), 200_000):
+                    part = slice(k, k + 200_000)
+                    yield pa.record_batch([pa.array([model] * len(a[part])), pa.array(a[part]), pa.array(b[part]), pa.array(n[part])], names=["model", "a", "b", "n"])
+            parts.clear()
 
         for texts, langs in text_groups(batches, ["text", "lang"]):
             by: dict[str, list[str]] = {}
@@ -171,78 +230,157 @@ def _count(names: frozenset):
                 if text:
                     by.setdefault(_group(lang, names), []).append(text)
             for lang, group in by.items():
-                if lang not in counts:
-                    counts[lang] = np.zeros(SIZE, np.int64)
-                counts[lang] += np.bincount(symbol_codes(group)[0], minlength=SIZE)
+                code, n = np.unique(symbol_codes(group)[0], return_counts=True)
+                parts.setdefault(CLASS + lang, []).append((np.zeros(len(code), np.int64), code.astype(np.int64), n))
+                parts.setdefault(FULL + lang, []).extend(point_grams(group))
+            held += sum(len(t) for t in texts if t)
+            if held > 16_000_000:
+                parts = {m: [_merged(own)] for m, own in parts.items()}
+                held = 0
+                if sum(len(own[0][0]) for own in parts.values()) > 4_000_000:
+                    yield from rows()
         yield from rows()
 
     return run
 
 
-def _languages(docs: DataFrame, lang: str) -> frozenset:
-    top = docs.groupBy(lang).count().where(F.col(lang).isNotNull()).orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES)
-    return frozenset(r[0] for r in top.collect())
-
+def _classes_model(table_: pa.Table) -> pa.Table:
+    codes, counts = table_["b"].to_numpy(), table_["n"].to_numpy()
+    order = np.argsort(codes)
+    codes = codes[order]
+    log_p = log_probability(kneser_ney(codes, counts[order]), codes).astype(np.float32)
+    return pa.table({"model": pa.array([table_["model"][0].as_py()] * len(codes)), "a": np.zeros(len(codes), np.int64), "b": codes, "log_p": log_p})
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[frozenset, dict]:
-    """Count the 4-grams of all texts in Spark, then estimate a model for each language group."""
-    own = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    names = _languages(own, "lang")
-    counted = own.mapInArrow(_count(names), "model string, code int, n long").groupBy("model", "code").agg(F.sum("n").alias("n"))
-    rows = counted.toArrow()  # at most 32**4 rows for each of MAX_LANGUAGES + 2 groups
-    models = np.array(rows["model"].to_pylist(), dtype=object)
-    codes, counts = rows["code"].to_numpy(), rows["n"].to_numpy()
-    out = {}
-    for name in sorted(set(models.tolist())):
-        mine = np.flatnonzero(models == name)
-        mine = mine[np.argsort(codes[mine])]
-        out[name] = kneser_ney(codes[mine], counts[mine])
-    return names, out
 
+def _full_model(grams: DataFrame) -> DataFrame:
+    """kneser_ney() for code points as joins and windows: model, a, b, log_p of every counted 4-gram."""
+    mask = lambda c, k: F.col(c).bitwiseAND(F.lit((1 << (POINT * k)) - 1)).alias(c)
+    suffix = lambda order: (mask("a", max(order - 2, 0)), mask("b", min(order, 2)))
+    levels = {ORDER: grams}
+    for order in range(ORDER - 1, 0, -1):
+        levels[order] = levels[order + 1].groupBy("model", *suffix(order)).agg(F.count(F.lit(1)).alias("n"))
+    lower = None
+    for order in range(1, ORDER + 1):
+        s = [F.count_if(F.col("n") == k).cast("double").alias(f"s{k}") for k in (1, 2, 3, 4)]
+        y = F.when(F.col("s1") > 0, F.col("s1") / (F.col("s1") + 2 * F.col("s2"))).otherwise(0.0)
+        off = [F.least(F.greatest(F.when(F.col(f"s{k}") > 0, k - (k + 1) * y * F.col(f"s{k + 1}") / F.col(f"s{k}")).otherwise(0.5 * k), F.lit(0.05 * k)), F.lit(0.95 * k)).alias(f"off{k}") for k in (1, 2, 3)]
+        offs = levels[order].groupBy("model").agg(*s).select("model", *off)
+        context = Window.partitionBy("model", "a", "head")
+        many = F.sum("n").over(context)
+        free = sum(F.col(f"off{k}") * F.sum((F.least("n", F.lit(3)) == k).cast("long")).over(context) for k in (1, 2, 3))
+        taken = F.when(F.col("n") == 1, F.col("off1")).when(F.col("n") == 2, F.col("off2")).otherwise(F.col("off3"))
+        level = levels[order].withColumn("head", F.shiftrightunsigned("b", POINT)).join(F.broadcast(offs), "model")  # offs: one row a language
+        level = level.select("model", "a", "b", ((F.col("n") - taken) / many).alias("own"), (free / many).alias("weight"))
+        if lower is None:
+            below = level.select("model", "a", "b", (F.col("own") + F.col("weight") / START).alias("p"))
+        else:
+            low = lower.select(F.col("model").alias("m"), F.col("a").alias("la"), F.col("b").alias("lb"), F.col("p").alias("below"))
+            la, lb = suffix(order - 1)
+            below = level.join(low, (F.col("model") == F.col("m")) & (la == F.col("la")) & (lb == F.col("lb"))).select("model", "a", "b", (F.col("own") + F.col("weight") * F.col("below")).alias("p"))
+        lower = below
+    return lower.select("model", "a", "b", F.log("p").cast("float").alias("log_p"))
 
-_directories: dict = {}
 
+def _languages(docs: DataFrame, lang: str) -> frozenset:
+    top = docs.groupBy(lang).count().where(F.col(lang).isNotNull()).orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES)
+    return frozenset(r[0] for r in top.collect())
 
-def _directory(key: str, name: str, model) -> np.ndarray:
-    """The model's log probability of every possible 4-gram, looked up once per worker."""
-    if key not in _directories:
-        _directories.clear()
-        _directories[key] = {}
-    held = _directories[key]
-    if name not in held:
-        held[name] = log_probability(model, np.arange(SIZE)).astype(np.float32)
-    return held[name]
 
+def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[frozenset, list]:
+    """Count the 4-grams of all texts, estimate the models and write them as shards sorted by model and 4-gram.
 
-def _score(shared, names: frozenset, token: str, bands: dict | None, reach: float, short: float):
+    Returns the languages and, for each shard, its file with its first and last model.
+    """
+    own = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    names = _languages(own, "lang")
+    counted = cut(own.mapInArrow(_count(names), "model string, a long, b long, n long").groupBy("model", "a", "b").agg(F.sum("n").alias("n")))
+    small = counted.where(F.col("model").startswith(CLASS)).groupBy("model").applyInArrow(_classes_model, "model string, a long, b long, log_p float")  # at most 32**4 rows a group
+    found = cut(small.unionByName(_full_model(counted.where(F.col("model").startswith(FULL)))))
+    shards = cut(found.repartitionByRange(max(1, -(-found.count() // SHARD_ROWS)), "model", "a", "b").sortWithinPartitions("model", "a", "b"))
+    index = shards.groupBy(F.input_file_name().alias("file")).agg(F.min("model"), F.max("model")).orderBy("file").collect()  # one row a shard
+    drop(counted, found)
+    return names, [tuple(r) for r in index]
+
+
+_held: dict = {}
+
+
+def _shards(index: list, model: str):
+    """(a, b, log_p) of the model's 4-grams from each shard that has some; workers keep what they read up to HELD_BYTES."""
+    for file, first, last in index:
+        if not first <= model <= last:
+            continue
+        if (file, model) not in _held:
+            system, path = pyarrow.fs.FileSystem.from_uri(file)
+            read = pyarrow.parquet.read_table(path, filesystem=system, filters=[("model", "=", model)], columns=["a", "b", "log_p"])
+            if sum(t.nbytes for t in _held.values()) + read.nbytes > HELD_BYTES:
+                _held.clear()
+            _held[file, model] = read
+        mine = _held[file, model]
+        yield mine["a"].to_numpy(), mine["b"].to_numpy(), mine["log_p"].to_numpy()
+
+
+def _class_logs(index: list, lang: str, codes: np.ndarray) -> np.ndarray:
+    value = np.full(SIZE, np.nan, np.float32)
+    for _, b, log_p in _shards(index, CLASS + lang):
+        value[b] = log_p
+    return value[codes].astype(np.float64)
+
+
+def _full_logs(index: list, lang: str, slices) -> np.ndarray:
+    out = []
+    for codes, alphabet, bits in slices:
+        want = np.unique(codes)
+        value = np.full(len(want), np.nan, np.float32)
+        rank = np.full(START + 1, -1, np.int32)
+        rank[alphabet] = np.arange(len(alphabet))
+        low = (1 << POINT) - 1
+        for a, b, log_p in _shards(index, FULL + lang):
+            r = [rank[x] for x in (a >> POINT, a & low, b >> POINT, b & low)]
+            inside_ = np.flatnonzero((r[0] >= 0) & (r[1] >= 0) & (r[2] >= 0) & (r[3] >= 0))
+            code = np.zeros(len(inside_), want.dtype)
+            for x in r:
+                code = (code << want.dtype.type(bits)) | x[inside_].astype(want.dtype)
+            at = np.minimum(np.searchsorted(want, code), len(want) - 1)
+            hit = want[at] == code
+            value[at[hit]] = log_p[inside_[hit]]
+        out.append(value[np.searchsorted(want, codes)])
+    return np.concatenate(out).astype(np.float64)
+
+
+def _score(index: list, names: frozenset, bands: dict | None, reach: float, short: float):
     """bands: None to return the figures of each row, else the rows that pass are returned as they came."""
 
     def figures(texts, langs):
-        models = shared.value
         groups = np.array([_group(x, names) for x in langs], dtype=object)
-        mean, size = np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
+        mean, full, size = np.full(len(texts), np.nan), np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
         for name in set(groups.tolist()):
             mine = [i for i in np.flatnonzero(groups == name) if texts[i]]
             if mine:
-                codes, lengths = symbol_codes([texts[i] for i in mine])
-                logs = _directory(token, name, models[name])[codes].astype(np.float64)
-                mean[mine] = -np.add.reduceat(logs, np.cumsum(lengths) - lengths) / lengths
+                own = [texts[i] for i in mine]
+                codes, lengths = symbol_codes(own)
+                starts = np.cumsum(lengths) - lengths
+                mean[mine] = -np.add.reduceat(_class_logs(index, name, codes), starts) / lengths
+                full[mine] = -np.add.reduceat(_full_logs(index, name, _point_groups(own)[0]), starts) / lengths
+                if np.isnan(mean[mine]).any() or np.isnan(full[mine]).any():
+                    raise RuntimeError("a text holds 4-grams that were not counted: the input changed between two reads")
                 size[mine] = lengths
-        return groups, mean, size, [base_counts(t) for t in texts]
+        return groups, mean, full, size, [base_counts(t) for t in texts]
 
     def run(batches):
         if bands is None:
             for ids, texts, langs in text_groups(batches, ["doc_id", "text", "lang"]):
-                groups, mean, size, base = figures(texts, langs)
+                groups, mean, full, size, base = figures(texts, langs)
                 columns = [pa.array(c) for c in zip(*base, strict=True)]
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(groups.tolist()), pa.array(mean, from_pandas=True), pa.array(size), *columns], names=["doc_id", "model", "log_ppl", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"])
+                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(groups.tolist()), pa.array(mean, from_pandas=True), pa.array(full, from_pandas=True), pa.array(size), *columns], names=["doc_id", "model", "log_ppl", "text_log_ppl", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"])
             return
         for batch in batches:
             done, keep = 0, np.zeros(batch.num_rows, bool)
             for texts, langs in text_groups([batch], ["text", "lang"]):
-                groups, mean, size, base = figures(texts, langs)
-                for i, (name, value, n, b) in enumerate(zip(groups, mean, size, base, strict=True)):
-                    keep[done + i] = not b[5] and inside(value, int(n), bands.get(name), reach, short)
+                groups, mean, full, size, base = figures(texts, langs)
+                for i, (name, value, other, n, b) in enumerate(zip(groups, mean, full, size, base, strict=True)):
+                    q, t = bands.get(name, (None, None))
+                    keep[done + i] = not b[5] and inside(value, int(n), q, reach, short) and inside(other, int(n), t, reach, short)
                 done += len(texts)
             yield batch.filter(pa.array(keep))
 
@@ -258,37 +396,35 @@ def inside(value: float, n: int, band, reach: float, short: float) -> bool:
 
 
 def _bands(figures: DataFrame) -> DataFrame:
-    return figures.where("log_ppl IS NOT NULL").groupBy("model").agg(F.percentile_approx("log_ppl", [0.25, 0.75], 20_000).alias("q"))
+    quartiles = lambda c: F.percentile_approx(c, [0.25, 0.75], 20_000)
+    return figures.where("log_ppl IS NOT NULL").groupBy("model").agg(quartiles("log_ppl").alias("q"), quartiles("text_log_ppl").alias("t"))
 
 
 REACH, SHORT = 3.0, 6.0
+FIGURES = f"doc_id long, model string, log_ppl double, text_log_ppl double, n_chars long, {METRICS}"
 
 
 def assess(docs: DataFrame, reach: float = REACH, short: float = SHORT) -> DataFrame:
-    """doc_id, counts, base_failed, kept, log_ppl, lower and upper band, one row per row of docs (doc_id, text, lang)."""
-    spark = docs.sparkSession
+    """doc_id, counts, base_failed, kept, then log perplexity, lower and upper band by classes and by code points, one row per row of docs (doc_id, text, lang)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    names, models = train(own)
-    shared = spark.sparkContext.broadcast(models)
-    figures = cut(own.mapInArrow(_score(shared, names, uuid.uuid4().hex, None, reach, short), f"doc_id long, model string, log_ppl double, n_chars long, {METRICS}"))
-    slack = reach * (F.col("q")[1] - F.col("q")[0]) + short / F.sqrt(F.greatest(F.col("n_chars"), F.lit(1)))
+    names, index = train(own)
+    figures = cut(own.mapInArrow(_score(index, names, None, reach, short), FIGURES))
+    slack = lambda q: reach * (F.col(q)[1] - F.col(q)[0]) + short / F.sqrt(F.greatest(F.col("n_chars"), F.lit(1)))
     judged = figures.join(F.broadcast(_bands(figures)), "model", "left").select(  # at most MAX_LANGUAGES + 2 rows
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "log_ppl", (F.col("q")[0] - slack).alias("band_low"), (F.col("q")[1] + slack).alias("band_high")
+        *[c for c in figures.columns if c not in ("model", "n_chars")], (F.col("q")[0] - slack("q")).alias("band_low"), (F.col("q")[1] + slack("q")).alias("band_high"), (F.col("t")[0] - slack("t")).alias("text_low"), (F.col("t")[1] + slack("t")).alias("text_high")
     )
-    inside_ = F.coalesce(F.col("log_ppl").between(F.col("band_low"), F.col("band_high")), F.lit(True))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside_).alias("kept"), "log_ppl", "band_low", "band_high")
+    inside_ = lambda c, low, high: F.coalesce(F.col(c).between(F.col(low), F.col(high)), F.lit(True))
+    kept = ~F.col("base_failed") & inside_("log_ppl", "band_low", "band_high") & inside_("text_log_ppl", "text_low", "text_high")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "log_ppl", "band_low", "band_high", "text_log_ppl", "text_low", "text_high")
 
 
 def keep_good(docs: DataFrame, reach: float = REACH, short: float = SHORT) -> DataFrame:
     """The rows of docs that assess() keeps, with all their columns and without moving a text between tasks."""
-    spark = docs.sparkSession
-    names, models = train(docs)
-    shared = spark.sparkContext.broadcast(models)
+    names, index = train(docs)
     own = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    token = uuid.uuid4().hex
-    figures = own.mapInArrow(_score(shared, names, token, None, reach, short), f"doc_id long, model string, log_ppl double, n_chars long, {METRICS}")
-    bands = {r["model"]: tuple(r["q"]) for r in _bands(figures).collect()}
-    return docs.mapInArrow(_score(shared, names, token, bands, reach, short), docs.schema)
+    figures = own.mapInArrow(_score(index, names, None, reach, short), FIGURES)
+    bands = {r["model"]: (tuple(r["q"]), tuple(r["t"])) for r in _bands(figures).collect()}
+    return docs.mapInArrow(_score(index, names, bands, reach, short), docs.schema)
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

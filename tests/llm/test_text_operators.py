@@ -338,6 +338,49 @@ def test_model_sums_to_one_and_backs_off():
         assert np.allclose(got, [p(int(c)) for c in every], atol=1e-4)
 
 
+def plain_points(texts):
+    """Modified Kneser-Ney over code points, by dictionaries."""
+    grams = {4: Counter(("^^^" + t)[i : i + 4] for t in texts for i in range(len(t)))}
+    for n in (3, 2, 1):
+        grams[n] = Counter(g[1:] for g in grams[n + 1])
+
+    def p(gram, n):
+        if n == 0:
+            return 1 / quality.START
+        g = grams[n]
+        c = [sum(v == k for v in g.values()) for k in (1, 2, 3, 4)]
+        y = c[0] / (c[0] + 2 * c[1]) if c[0] else 0
+        off = [0.0] + [min(max(k - (k + 1) * y * c[k] / c[k - 1] if c[k - 1] else 0.5 * k, 0.05 * k), 0.95 * k) for k in (1, 2, 3)]
+        kin = [v for other, v in g.items() if other[:-1] == gram[:-1]]
+        return (g[gram] - off[min(g[gram], 3)]) / sum(kin) + sum(off[min(v, 3)] for v in kin) / sum(kin) * p(gram[1:], n - 1)
+
+    return {gram: p(gram, 4) for gram in grams[4]}
+
+
+def test_code_points_are_told_apart(spark):
+    """Scrambled letters beyond Latin have the classes of real text, but not its code points."""
+    r = random.Random(5)
+    words = "вода камень дорога ветер солнце река дерево птица город море снег огонь".split()
+    rows = [(i, " ".join(r.choice(words) for _ in range(60)), "ru", "s", 1) for i in range(80)]
+    rows[7] = (7, "".join(c if c == " " else chr(r.randrange(0x400, 0x500)) for c in rows[7][1]), *rows[7][2:])
+    got = {x["doc_id"]: x for x in quality.assess(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert not got[7]["kept"] and not got[7]["base_failed"]
+    assert sum(x["kept"] for x in got.values()) >= 77
+    few = [(i, t, "ru", "s", 1) for i, t in enumerate(["вода и камень\n", "Вода,  и ветер 日本", "ab\x00 | вода"])]
+    p = plain_points([x[1] for x in few])
+    for x in quality.assess(spark.createDataFrame(few, SCHEMA)).collect():
+        t = few[x["doc_id"]][1]
+        assert abs(x["text_log_ppl"] + float(np.mean([np.log(p[("^^^" + t)[i : i + 4]]) for i in range(len(t))]))) < 1e-4
+
+
+def test_grams_of_a_large_alphabet():
+    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x13000)])) + "end"
+    a, b, n = quality._merged(quality.point_grams([text, "end"]))
+    padded = [(quality.START,) * 3 + tuple(map(ord, t)) for t in (text, "end")]
+    want = Counter(t[i : i + 4] for t in padded for i in range(len(t) - 3))
+    assert {(x >> 21, x & 0x1FFFFF, y >> 21, y & 0x1FFFFF): k for x, y, k in zip(a.tolist(), b.tolist(), n.tolist())} == want
+
+
 def test_languages(spark, none):
     r = random.Random(2)
     vocab = {"en": "the of and with from this that then house stone".split(), "de": "der die und nicht schön straße über stein haus auch".split(), "fr": "le où et après été maison pierre avec nous vous".split()}
