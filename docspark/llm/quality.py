@@ -11,8 +11,10 @@ the shared folder; a task that scores texts loads the shards of their languages
 
 Each language gets its own lower and upper perplexity band for each model, from
 quartiles over all documents: a document is rejected where a log perplexity lies further
-than `reach` interquartile ranges outside the middle half. Short texts vary more, so the
-distance allowed grows by `short / sqrt(symbols)`. Null languages form one group; beyond
+than `reach` interquartile ranges outside the middle half. Short texts vary more, so the range
+is the one measured at the document's length: squared ranges of all documents of a language,
+by powers of two in length, are fitted by alpha + beta / symbols (weighted by documents times
+length, as a range's error shrinks with both). Null languages form one group; beyond
 MAX_LANGUAGES values, the rarest share one group (no row is left out).
 
 Null and empty texts have no words: all counts are 0, base_failed is true. Every input row
@@ -348,7 +350,7 @@ def _full_logs(index: list, lang: str, slices) -> np.ndarray:
     return np.concatenate(out).astype(np.float64)
 
 
-def _score(index: list, names: frozenset, bands: dict | None, reach: float, short: float):
+def _score(index: list, names: frozenset, bands: dict | None, reach: float):
     """bands: None to return the figures of each row, else the rows that pass are returned as they came."""
 
     def figures(texts, langs):
@@ -380,36 +382,51 @@ def _score(index: list, names: frozenset, bands: dict | None, reach: float, shor
                 groups, mean, full, size, base = figures(texts, langs)
                 for i, (name, value, other, n, b) in enumerate(zip(groups, mean, full, size, base, strict=True)):
                     q, t = bands.get(name, (None, None))
-                    keep[done + i] = not b[5] and inside(value, int(n), q, reach, short) and inside(other, int(n), t, reach, short)
+                    keep[done + i] = not b[5] and inside(value, int(n), q, reach) and inside(other, int(n), t, reach)
                 done += len(texts)
             yield batch.filter(pa.array(keep))
 
     return run
 
 
-def inside(value: float, n: int, band, reach: float, short: float) -> bool:
+def inside(value: float, n: int, band, reach: float) -> bool:
     if band is None or n == 0:
         return True
-    q1, q3 = band
-    slack = reach * (q3 - q1) + short / n**0.5
+    q1, q3, alpha, beta = band
+    slack = reach * (alpha + beta / n) ** 0.5
     return q1 - slack <= value <= q3 + slack
 
 
+def _band(figures: DataFrame, column: str, name: str) -> DataFrame:
+    """model, name: quartiles of the column, and alpha and beta of its squared range by length."""
+    quartiles = F.percentile_approx(column, [0.25, 0.75], 20_000)
+    some = figures.where(F.col(column).isNotNull())
+    bins = some.groupBy("model", F.floor(F.log2("n_chars")).alias("bin")).agg(quartiles.alias("q"), F.count(F.lit(1)).alias("w"), F.sum("n_chars").alias("chars"))
+    bins = bins.select("model", F.struct("bin", F.col("chars").cast("double").alias("w"), (F.col("w") / F.col("chars")).alias("x"), F.pow(F.col("q")[1] - F.col("q")[0], F.lit(2.0)).alias("y")).alias("bin"))
+    bins = bins.groupBy("model").agg(F.sort_array(F.collect_list("bin")).alias("bins"))  # one item a power of two, summed in order
+    total = lambda f: F.aggregate("bins", F.lit(0.0), lambda sum_, e: sum_ + f(e))
+    weight = total(lambda e: e["w"])
+    mean = bins.select("model", "bins", weight.alias("w"), (total(lambda e: e["w"] * e["x"]) / weight).alias("x"), (total(lambda e: e["w"] * e["y"]) / weight).alias("y"))
+    spread = total(lambda e: e["w"] * F.pow(e["x"] - F.col("x"), F.lit(2.0)))
+    slope = F.when(spread > 0, F.greatest(F.lit(0.0), total(lambda e: e["w"] * (e["x"] - F.col("x")) * (e["y"] - F.col("y"))) / spread)).otherwise(0.0)
+    fit = mean.select("model", "x", "y", slope.alias("beta")).select("model", "beta", F.greatest(F.lit(0.0), F.col("y") - F.col("beta") * F.col("x")).alias("alpha"))
+    return some.groupBy("model").agg(quartiles.alias("q")).join(fit, "model").select("model", F.array(F.col("q")[0], F.col("q")[1], "alpha", "beta").alias(name))
+
+
 def _bands(figures: DataFrame) -> DataFrame:
-    quartiles = lambda c: F.percentile_approx(c, [0.25, 0.75], 20_000)
-    return figures.where("log_ppl IS NOT NULL").groupBy("model").agg(quartiles("log_ppl").alias("q"), quartiles("text_log_ppl").alias("t"))
+    return _band(figures, "log_ppl", "q").join(_band(figures, "text_log_ppl", "t"), "model")
 
 
-REACH, SHORT = 3.0, 6.0
+REACH = 2.0
 FIGURES = f"doc_id long, model string, log_ppl double, text_log_ppl double, n_chars long, {METRICS}"
 
 
-def assess(docs: DataFrame, reach: float = REACH, short: float = SHORT) -> DataFrame:
+def assess(docs: DataFrame, reach: float = REACH) -> DataFrame:
     """doc_id, counts, base_failed, kept, then log perplexity, lower and upper band by classes and by code points, one row per row of docs (doc_id, text, lang)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     names, index = train(own)
-    figures = cut(own.mapInArrow(_score(index, names, None, reach, short), FIGURES))
-    slack = lambda q: reach * (F.col(q)[1] - F.col(q)[0]) + short / F.sqrt(F.greatest(F.col("n_chars"), F.lit(1)))
+    figures = cut(own.mapInArrow(_score(index, names, None, reach), FIGURES))
+    slack = lambda q: reach * F.sqrt(F.col(q)[2] + F.col(q)[3] / F.greatest(F.col("n_chars"), F.lit(1)))
     judged = figures.join(F.broadcast(_bands(figures)), "model", "left").select(  # at most MAX_LANGUAGES + 2 rows
         *[c for c in figures.columns if c not in ("model", "n_chars")], (F.col("q")[0] - slack("q")).alias("band_low"), (F.col("q")[1] + slack("q")).alias("band_high"), (F.col("t")[0] - slack("t")).alias("text_low"), (F.col("t")[1] + slack("t")).alias("text_high")
     )
@@ -418,13 +435,13 @@ def assess(docs: DataFrame, reach: float = REACH, short: float = SHORT) -> DataF
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "log_ppl", "band_low", "band_high", "text_log_ppl", "text_low", "text_high")
 
 
-def keep_good(docs: DataFrame, reach: float = REACH, short: float = SHORT) -> DataFrame:
+def keep_good(docs: DataFrame, reach: float = REACH) -> DataFrame:
     """The rows of docs that assess() keeps, with all their columns and without moving a text between tasks."""
     names, index = train(docs)
     own = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    figures = own.mapInArrow(_score(index, names, None, reach, short), FIGURES)
+    figures = cut(own.mapInArrow(_score(index, names, None, reach), FIGURES))
     bands = {r["model"]: (tuple(r["q"]), tuple(r["t"])) for r in _bands(figures).collect()}
-    return docs.mapInArrow(_score(index, names, bands, reach, short), docs.schema)
+    return docs.mapInArrow(_score(index, names, bands, reach), docs.schema)
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -381,6 +381,24 @@ def test_grams_of_a_large_alphabet():
     assert {(x >> 21, x & 0x1FFFFF, y >> 21, y & 0x1FFFFF): k for x, y, k in zip(a.tolist(), b.tolist(), n.tolist())} == want
 
 
+def test_bands_reject_planted_junk(spark):
+    """Bar-separated fragments and words with signs at their end go, clean documents of every length stay."""
+    r = random.Random(6)
+    sf = "/root/testdata/sf0.01"
+    real = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("lang = 'en' AND quality = 1 AND length(text) > 300").select("doc_id", "text").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    clean = [(x["doc_id"], x["text"], "en", "s", 1) for x in real]
+    junk = []
+    for i, x in enumerate(real[:12]):
+        ws = x["text"].split()[:150]
+        text = "".join(w[r.randrange(len(w)) :] + (" | " if r.random() < 0.3 else " ") for w in ws) if i % 2 else " ".join(w + r.choice(["", "", "%%%", "###", "&&&"]) for w in ws)
+        junk.append((-1 - i, text, "en", "s", 1))
+    got = [x for x in quality.assess(spark.createDataFrame(clean + junk, SCHEMA).repartition(3)).collect() if not x["base_failed"]]
+    bad = [x["kept"] for x in got if x["doc_id"] < 0]
+    good = [x["kept"] for x in got if x["doc_id"] >= 0]
+    assert len(bad) >= 10 and len(good) > 100
+    assert sum(bad) <= 0.25 * len(bad) and sum(good) >= 0.97 * len(good)
+
+
 def test_languages(spark, none):
     r = random.Random(2)
     vocab = {"en": "the of and with from this that then house stone".split(), "de": "der die und nicht schön straße über stein haus auch".split(), "fr": "le où et après été maison pierre avec nous vous".split()}
