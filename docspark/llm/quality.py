@@ -14,8 +14,8 @@ quartiles over all documents: a document is rejected where a log perplexity lies
 than `reach` interquartile ranges outside the middle half. Short texts vary more, so the range
 is the one measured at the document's length: squared ranges of all documents of a language,
 by powers of two in length, are fitted by alpha + beta / symbols (weighted by documents times
-length, as a range's error shrinks with both). Null languages form one group; beyond
-MAX_LANGUAGES values, the rarest share one group (no row is left out).
+length, as a range's error shrinks with both). Every language has
+models and bands of its own, however many there are; null languages form one group.
 
 Null and empty texts have no words: all counts are 0, base_failed is true. Every input row
 gives one output row, repeated ids included; other columns are ignored.
@@ -34,10 +34,9 @@ from pyspark.sql import functions as F
 
 from .common import WHITE, cut, drop, rolling, table, text_groups, word_hashes
 
-BITS, ORDER, MAX_LANGUAGES = 5, 4, 16
+BITS, ORDER = 5, 4
 SIZE = 1 << (BITS * ORDER)
 CONTEXT = 8  # marks the keys of back-off weights
-POOL = "\x00rest"
 POINT, START = 21, 0x110000  # bits of a code point, and the sign before a text
 SHARD_ROWS, HELD_BYTES = 1_000_000, 96_000_000
 CLASS, FULL = "c", "p"  # first letter of a model's name
@@ -209,41 +208,39 @@ def point_grams(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarr
     return out
 
 
-def _group(lang, names: set):
-    return lang if lang in names else POOL if lang is not None else ""
-
-
-def _count(names: frozenset):
-    def run(batches):
-        parts: dict[str, list] = {}
-        held = 0
-
-        def rows():
-            for model, own in parts.items():
-                a, b, n = _merged(own)
-                for k in range(0, len(a), 200_000):
-                    part = slice(k, k + 200_000)
-                    yield pa.record_batch([pa.array([model] * len(a[part])), pa.array(a[part]), pa.array(b[part]), pa.array(n[part])], names=["model", "a", "b", "n"])
-            parts.clear()
-
-        for texts, langs in text_groups(batches, ["text", "lang"]):
-            by: dict[str, list[str]] = {}
-            for text, lang in zip(texts, langs, strict=True):
-                if text:
-                    by.setdefault(_group(lang, names), []).append(text)
-            for lang, group in by.items():
-                code, n = np.unique(symbol_codes(group)[0], return_counts=True)
-                parts.setdefault(CLASS + lang, []).append((np.zeros(len(code), np.int64), code.astype(np.int64), n))
-                parts.setdefault(FULL + lang, []).extend(point_grams(group))
-            held += sum(len(t) for t in texts if t)
-            if held > 16_000_000:
-                parts = {m: [_merged(own)] for m, own in parts.items()}
-                held = 0
-                if sum(len(own[0][0]) for own in parts.values()) > 4_000_000:
-                    yield from rows()
-        yield from rows()
-
-    return run
+def _group(lang: str | None) -> str:
+    """A name for the language's models that null shares with no language."""
+    return "" if lang is None else "=" + lang
+
+
+def _count(batches):
+    parts: dict[str, list] = {}
+    held = 0
+
+    def rows():
+        for model, own in parts.items():
+            a, b, n = _merged(own)
+            for k in range(0, len(a), 200_000):
+                part = slice(k, k + 200_000)
+                yield pa.record_batch([pa.array([model] * len(a[part])), pa.array(a[part]), pa.array(b[part]), pa.array(n[part])], names=["model", "a", "b", "n"])
+        parts.clear()
+
+    for texts, langs in text_groups(batches, ["text", "lang"]):
+        by: dict[str, list[str]] = {}
+        for text, lang in zip(texts, langs, strict=True):
+            if text:
+                by.setdefault(_group(lang), []).append(text)
+        for lang, group in by.items():
+            code, n = np.unique(symbol_codes(group)[0], return_counts=True)
+            parts.setdefault(CLASS + lang, []).append((np.zeros(len(code), np.int64), code.astype(np.int64), n))
+            parts.setdefault(FULL + lang, []).extend(point_grams(group))
+        held += sum(len(t) for t in texts if t)
+        if held > 16_000_000:
+            parts = {m: [_merged(own)] for m, own in parts.items()}
+            held = 0
+            if sum(len(own[0][0]) for own in parts.values()) > 4_000_000:
+                yield from rows()
+    yield from rows()
 
 
 def _classes_model(table_: pa.Table) -> pa.Table:
@@ -283,25 +280,19 @@ def _full_model(grams: DataFrame) -> DataFrame:
     return lower.select("model", "a", "b", F.log("p").cast("float").alias("log_p"))
 
 
-def _languages(docs: DataFrame, lang: str) -> frozenset:
-    top = docs.groupBy(lang).count().where(F.col(lang).isNotNull()).orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES)
-    return frozenset(r[0] for r in top.collect())
-
-
-def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[frozenset, list]:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> list:
     """Count the 4-grams of all texts, estimate the models and write them as shards sorted by model and 4-gram.
 
-    Returns the languages and, for each shard, its file with its first and last model.
+    Returns each shard's file with its first and last model.
     """
     own = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    names = _languages(own, "lang")
-    counted = cut(own.mapInArrow(_count(names), "model string, a long, b long, n long").groupBy("model", "a", "b").agg(F.sum("n").alias("n")))
+    counted = cut(own.mapInArrow(_count, "model string, a long, b long, n long").groupBy("model", "a", "b").agg(F.sum("n").alias("n")))
     small = counted.where(F.col("model").startswith(CLASS)).groupBy("model").applyInArrow(_classes_model, "model string, a long, b long, log_p float")  # at most 32**4 rows a group
     found = cut(small.unionByName(_full_model(counted.where(F.col("model").startswith(FULL)))))
     shards = cut(found.repartitionByRange(max(1, -(-found.count() // SHARD_ROWS)), "model", "a", "b").sortWithinPartitions("model", "a", "b"))
     index = shards.groupBy(F.input_file_name().alias("file")).agg(F.min("model"), F.max("model")).orderBy("file").collect()  # one row a shard
     drop(counted, found)
-    return names, [tuple(r) for r in index]
+    return [tuple(r) for r in index]
 
 
 _held: dict = {}
@@ -350,11 +341,11 @@ def _full_logs(index: list, lang: str, slices) -> np.ndarray:
     return np.concatenate(out).astype(np.float64)
 
 
-def _score(index: list, names: frozenset, bands: dict | None, reach: float):
+def _score(index: list, bands: dict | None, reach: float):
     """bands: None to return the figures of each row, else the rows that pass are returned as they came."""
 
     def figures(texts, langs):
-        groups = np.array([_group(x, names) for x in langs], dtype=object)
+        groups = np.array([_group(x) for x in langs], dtype=object)
         mean, full, size = np.full(len(texts), np.nan), np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
         for name in set(groups.tolist()):
             mine = [i for i in np.flatnonzero(groups == name) if texts[i]]
@@ -424,10 +415,10 @@ FIGURES = f"doc_id long, model string, log_ppl double, text_log_ppl double, n_ch
 def assess(docs: DataFrame, reach: float = REACH) -> DataFrame:
     """doc_id, counts, base_failed, kept, then log perplexity, lower and upper band by classes and by code points, one row per row of docs (doc_id, text, lang)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    names, index = train(own)
-    figures = cut(own.mapInArrow(_score(index, names, None, reach), FIGURES))
+    index = train(own)
+    figures = cut(own.mapInArrow(_score(index, None, reach), FIGURES))
     slack = lambda q: reach * F.sqrt(F.col(q)[2] + F.col(q)[3] / F.greatest(F.col("n_chars"), F.lit(1)))
-    judged = figures.join(F.broadcast(_bands(figures)), "model", "left").select(  # at most MAX_LANGUAGES + 2 rows
+    judged = figures.join(F.broadcast(_bands(figures)), "model", "left").select(  # one row a language
         *[c for c in figures.columns if c not in ("model", "n_chars")], (F.col("q")[0] - slack("q")).alias("band_low"), (F.col("q")[1] + slack("q")).alias("band_high"), (F.col("t")[0] - slack("t")).alias("text_low"), (F.col("t")[1] + slack("t")).alias("text_high")
     )
     inside_ = lambda c, low, high: F.coalesce(F.col(c).between(F.col(low), F.col(high)), F.lit(True))
@@ -437,11 +428,11 @@ def assess(docs: DataFrame, reach: float = REACH) -> DataFrame:
 
 def keep_good(docs: DataFrame, reach: float = REACH) -> DataFrame:
     """The rows of docs that assess() keeps, with all their columns and without moving a text between tasks."""
-    names, index = train(docs)
+    index = train(docs)
     own = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    figures = cut(own.mapInArrow(_score(index, names, None, reach), FIGURES))
+    figures = cut(own.mapInArrow(_score(index, None, reach), FIGURES))
     bands = {r["model"]: (tuple(r["q"]), tuple(r["t"])) for r in _bands(figures).collect()}
-    return docs.mapInArrow(_score(index, names, bands, reach), docs.schema)
+    return docs.mapInArrow(_score(index, bands, reach), docs.schema)
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -399,6 +399,18 @@ def test_bands_reject_planted_junk(spark):
     assert sum(bad) <= 0.25 * len(bad) and sum(good) >= 0.97 * len(good)
 
 
+def test_every_language_has_its_band(spark):
+    """What one language's documents get doesn't depend on how many languages there are; null is no language's group."""
+    r = random.Random(7)
+    few = [(i, " ".join(r.choice(WORDS) for _ in range(r.randint(25, 60))), lang, "s", 1) for i, lang in enumerate(["ka", "", None] * 5)]
+    many = [(100 + i, " ".join(r.choice(WORDS[i % 7 :: 2]) for _ in range(30)), f"l{i % 20}", "s", 1) for i in range(140)]
+    figures = lambda rows: {x["doc_id"]: tuple(x) for x in quality.assess(spark.createDataFrame(rows, SCHEMA).repartition(2)).collect() if x["doc_id"] < 100}
+    alone = {}
+    for lang in ("ka", "", None):
+        alone |= figures([x for x in few if x[2] == lang])
+    assert figures(few + many) == alone
+
+
 def test_languages(spark, none):
     r = random.Random(2)
     vocab = {"en": "the of and with from this that then house stone".split(), "de": "der die und nicht schön straße über stein haus auch".split(), "fr": "le où et après été maison pierre avec nous vous".split()}
