@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,34 +23,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: list[tuple[SparkSession, str]] = []  # folders made by cut() and not yet deleted
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; only where that is unset (tests) a temporary one."""
+    """A new folder under spark.checkpoint.dir. Only a session of one machine may do without that setting."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="docspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/docspark-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back, which ends its lineage.
 
-    The written files survive lost executors; the shuffle files behind them may go.
+    The written files survive lost executors; the shuffle files behind them may go. What is
+    not dropped before goes when the program ends.
     """
     spark, path = df.sparkSession, scratch(df.sparkSession)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    _written.append((spark, path))
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._docspark_path = path
     return out
 
 
+def _delete(folders: list[tuple[SparkSession, str]]) -> None:
+    for spark, path in folders:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration() if spark._jsc.sc().isStopped() else spark._jsc.hadoopConfiguration()).delete(where, True)
+    gone = {path for _, path in folders}
+    _written[:] = [x for x in _written if x[1] not in gone]
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete tables made by cut() that no later step reads."""
-    for t in tables:
-        jvm = t.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(t._docspark_path)
-        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    _delete([(t.sparkSession, t._docspark_path) for t in tables])
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """The DataFrame that make() returns, written by cut(); tables that its steps had written go."""
+    before = {path for _, path in _written}
+    out = cut(make())
+    _delete([x for x in _written if x[1] not in before and x[1] != out._docspark_path])
+    return out
+
+
+@atexit.register
+def _clear() -> None:
+    try:
+        _delete(list(_written))
+    except Exception:  # noqa: BLE001  the Java side is gone, and nothing can be deleted any more
+        _written.clear()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def release(spark: SparkSession) -> None:
@@ -95,16 +137,17 @@ def rolling(values: np.ndarray, n: int) -> np.ndarray:
 def text_groups(batches, columns: list[str], text: str = "text", limit: int = 2_000_000):
     """Lists of column values for consecutive rows of about `limit` characters; a longer text stands alone."""
     for batch in batches:
-        values = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
-        lengths = [len(t) if t else 0 for t in values[columns.index(text)]]
+        own = batch.select(columns)
+        at = own.schema.get_field_index(text)
+        lengths = pc.utf8_length(own.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
         start = total = 0
-        for i, n in enumerate(lengths):
+        for i, n in enumerate(lengths.tolist()):
             if total and total + n > limit:
-                yield [v[start:i] for v in values]
+                yield [c.to_pylist() for c in own.slice(start, i - start).columns]
                 start, total = i, 0
             total += n
         if start < len(lengths):
-            yield [v[start:] for v in values]
+            yield [c.to_pylist() for c in own.slice(start).columns]
 
 
 def ordering_id(column: str = "doc_id"):

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, fresh, table
 
 DOMAIN = "CASE WHEN right(source, 1) IN ('0', '1', '2', '3', '4') THEN 'web' WHEN right(source, 1) IN ('5', '6', '7') THEN 'books' WHEN source IS NULL THEN '' ELSE 'code' END"
 DOMAIN_WEIGHTS = {"web": 5, "books": 3, "code": 2}
@@ -95,12 +95,12 @@ def take(docs: DataFrame, domain: str = DOMAIN, share_percent: int = SHARE_PERCE
     """
     chosen = mix(docs, domain, share_percent, 1, seed)
     last = cut(chosen.where("copies > 0").groupBy(*LEAF, "epochs").agg(F.max(F.struct("order_key", "doc_id", "n_tokens")).alias("last")))
-    names = {c: f"_leaf_{c}" for c in LEAF}
-    marked = docs.select("*", F.expr(domain).alias("_leaf_domain"), F.coalesce("lang", F.lit("")).alias("_leaf_lang"), F.coalesce("source", F.lit("")).alias("_leaf_source"), F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0)).alias("_leaf_n"))
-    ends = last.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("epochs").alias("_leaf_epochs"), F.col("last").alias("_leaf_last"))
-    key = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("_leaf_epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    mine = F.struct(key.alias("order_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_leaf_n").alias("n_tokens"))
-    return marked.join(ends, list(names.values())).where((F.col("_leaf_epochs") > 0) | (mine <= F.col("_leaf_last"))).select(*docs.columns)
+    domain_, lang_, source_, n_, epochs_, last_ = fresh(docs, *[f"_leaf_{c}" for c in (*LEAF, "n", "epochs", "last")])
+    marked = docs.select("*", F.expr(domain).alias(domain_), F.coalesce("lang", F.lit("")).alias(lang_), F.coalesce("source", F.lit("")).alias(source_), F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0)).alias(n_))
+    ends = last.select(F.col("domain").alias(domain_), F.col("lang").alias(lang_), F.col("source").alias(source_), F.col("epochs").alias(epochs_), F.col("last").alias(last_))
+    key = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(epochs_).cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    mine = F.struct(key.alias("order_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col(n_).alias("n_tokens"))
+    return marked.join(ends, [domain_, lang_, source_]).where((F.col(epochs_) > 0) | (mine <= F.col(last_))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
