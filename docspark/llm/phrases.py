@@ -102,7 +102,7 @@ def locate(rows) -> list[tuple[int, int, int]]:
     return out
 
 
-WORDS = Kind(WINDOW, GRAM, False, _word_values, locate)
+WORDS = Kind(WINDOW, GRAM, False, _word_values, locate, 6_000_000)
 
 
 def _digest(batches):
@@ -118,10 +118,11 @@ def _digest(batches):
 
 
 def _rewrite(batches):
+    """The places are the last column, which goes."""
     for batch in batches:
-        at, places_at = batch.schema.get_field_index("text"), batch.schema.get_field_index("_places")
+        at = batch.schema.get_field_index("text")
         texts, keep = [], []
-        for text, places in zip(batch.column(at), batch.column(places_at).to_pylist(), strict=True):
+        for text, places in zip(batch.column(at), batch.columns[-1].to_pylist(), strict=True):
             text = text.as_py()
             if places:
                 words = split(text)
@@ -129,19 +130,20 @@ def _rewrite(batches):
                 text = b" ".join(w for w, g in zip(words, gone, strict=True) if not g).decode("utf-8", "surrogatepass")
             texts.append(text)
             keep.append(not places or text != "")
-        columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if i != places_at]
-        yield pa.RecordBatch.from_arrays(columns, names=[n for n in batch.schema.names if n != "_places"]).filter(pa.array(keep, pa.bool_()))
+        columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
 
 
 def phrase_counts(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256: one row per row of docs (doc_id, text)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return with_places(own, WORDS, hot).mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return with_places(own, WORDS, hot)[0].mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_phrases(docs: DataFrame) -> DataFrame:
     """docs with repeated passages cut out of text. A text that loses something has its words joined by one space; a row that loses all its words goes."""
-    return with_places(docs, WORDS).mapInArrow(_rewrite, docs.schema)
+    named, places = with_places(docs, WORDS)
+    return named.select(*[F.col(f"`{c}`") for c in docs.columns], places).mapInArrow(_rewrite, docs.schema)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:

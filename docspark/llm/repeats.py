@@ -29,16 +29,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, ordering_id, release, rolling, text_groups
+from .common import cut, drop, fresh, release, rolling, text_groups
 
 HELD = 600_000  # anchors a task compares at a time
-SHARD_BYTES = 3_000_000  # text of the segments located at a time
+ROW_BYTES = 400  # what a held row takes beside its text
+SEGMENT_BYTES = 48_000_000  # segments a task compares at a time
 OUT_ROWS = 20_000
 HOT = 20_000  # documents of an anchor that one task takes
+NULL_DOC = 1 << 62  # documents without an id have keys from here on; all of them count as one, the last
+
+
+def document():
+    """The id as a long below NULL_DOC. Null ids get a key for each text, so that no key gathers them all."""
+    own = F.xxhash64(F.col("text").cast("string")).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(NULL_DOC)
+    return F.coalesce(F.col("doc_id").cast("long"), own)
 
 
 @dataclass(frozen=True)
@@ -50,6 +59,7 @@ class Kind:
     within: bool  # earlier starts of the same document count too
     values: Callable
     locate: Callable  # sorted segment rows of whole anchor values -> (row numbers, first window, windows)
+    shard: int  # bytes of segment rows located at a time
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -96,7 +106,7 @@ def _seen(kind: Kind):
         new = np.concatenate([[True], value[1:] != value[:-1]])
         other = np.concatenate([[True], (doc[1:] != doc[:-1]) | new[1:]])
         group = np.cumsum(new) - 1
-        several = np.bincount(group, other.astype(np.int64)) > 1
+        several = np.bincount(group, other.astype(np.int64)) > 1  # rows without an id count as several documents here, which only adds candidates
         if kind.within:
             several |= np.bincount(group) > 1
         flag = np.where(new, several[group].astype(np.int8), np.int8(2))
@@ -187,10 +197,10 @@ def _segments(kind: Kind):
             if seen is None:
                 first[value, segment] = new = (value, doc, row, [start], windows, segment)
                 out.append(new)
-            elif kind.within or seen[1] != doc:
+            elif kind.within or min(seen[1], NULL_DOC) != min(doc, NULL_DOC):
                 if seen[1:3] != (doc, row) or seen[3][0] != start:
                     known.setdefault((doc, row, windows), []).append(start)
-            elif seen[2] == row:
+            elif seen[1:3] == (doc, row):
                 seen[3].append(start)
             else:
                 out.append((value, doc, row, [start], windows, segment))
@@ -218,12 +228,12 @@ def _segments(kind: Kind):
                     for i in range(a, a + w):
                         segment = cutter(t, i, i + kind.size)
                         held.append((xxhash.xxh3_64_intdigest(segment) - (1 << 63), docs[t], row[t], i, 1, segment))
-                        n += len(segment) + 60
+                        n += len(segment) + ROW_BYTES
                     continue
                 segment = cutter(t, a, a + w + kind.size - 1)
                 held.append((h, docs[t], row[t], a, w, segment))
-                n += len(segment) + 60
-            if n >= 24_000_000:
+                n += len(segment) + ROW_BYTES
+            if n >= SEGMENT_BYTES:
                 yield from rows(held)
                 held, n = [], 0
         if held:
@@ -232,25 +242,42 @@ def _segments(kind: Kind):
     return run
 
 
+def _known(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Places of rows whose windows are known to repeat, one row a start."""
+    starts = batch.column(3)
+    of = pc.list_parent_indices(starts)
+    windows = batch.column(4).cast(pa.int64())
+    return pa.record_batch([batch.column(1).take(of), batch.column(2).take(of), pc.list_flatten(starts), windows.take(of)], names=PLACES)
+
+
+PLACES = ["doc", "row", "start", "windows"]
+
+
 def _located(kind: Kind):
-    """doc, row, start, windows of repeated windows; rows come sorted by hash, doc, row, starts."""
+    """doc, row, start, windows of repeated windows; rows come sorted by hash, doc, row, starts.
+
+    Rows without a segment need no comparison and go on at once. The others are held until
+    kind.shard bytes of whole anchor values are there.
+    """
 
     def close(held):
         rows = [r for part in held for r in part]
-        found = [(r[1], r[2], s, r[4]) for r in rows if r[5] is None for s in r[3]]
-        rows = [r for r in rows if r[5] is not None]
-        if rows:
-            found += [(rows[i][1], rows[i][2], s + a, n) for i, a, n in kind.locate(rows) for s in rows[i][3]]
-        for k in range(0, len(found), 100_000):
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found[k : k + 100_000], strict=True)], names=["doc", "row", "start", "windows"])
+        found = [(rows[i][1], rows[i][2], s + a, n) for i, a, n in kind.locate([(h, min(doc, NULL_DOC), *rest) for h, doc, *rest in rows]) for s in rows[i][3]]
+        for k in range(0, len(found), OUT_ROWS):
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found[k : k + OUT_ROWS], strict=True)], names=PLACES)
 
     def run(batches):
         held, n, last = [], 0, None
         for batch in batches:
-            for k in range(0, batch.num_rows, 5_000):
-                rows = list(zip(*(c.to_pylist() for c in batch.slice(k, 5_000).columns), strict=True))
+            for k in range(0, batch.num_rows, 2_000):
+                part = batch.slice(k, 2_000)
+                known = pc.is_null(part.column(5))
+                if part.column(5).null_count:
+                    yield _known(part.filter(known))
+                    part = part.filter(pc.invert(known))
+                rows = list(zip(*(c.to_pylist() for c in part.columns), strict=True))
                 while rows:
-                    if n >= SHARD_BYTES:  # a shard ends where its last anchor value ends
+                    if n >= kind.shard:  # a shard ends where its last anchor value ends
                         edge = next((i for i, r in enumerate(rows) if r[0] != last), len(rows))
                         held.append(rows[:edge])
                         rows = rows[edge:]
@@ -259,7 +286,7 @@ def _located(kind: Kind):
                             held, n = [], 0
                         continue
                     held.append(rows)
-                    n += sum(len(r[5]) + 60 if r[5] else 60 for r in rows)
+                    n += sum(len(r[5]) + ROW_BYTES for r in rows)
                     last, rows = rows[-1][0], []
         if held:
             yield from close(held)
@@ -270,7 +297,7 @@ def _located(kind: Kind):
 def repeated(docs: DataFrame, kind: Kind, hot: int = HOT) -> DataFrame:
     """doc, row, places (array of start, windows): the windows of docs (doc_id, text) that occur earlier."""
     spark = docs.sparkSession
-    own = docs.where("text IS NOT NULL").select(ordering_id().alias("doc"), F.col("text").cast("string").alias("text"))
+    own = docs.where("text IS NOT NULL").select(document().alias("doc"), F.col("text").cast("string").alias("text"))
 
     def spread(flag):
         return F.when(flag, F.xxhash64("doc", "hash")).otherwise(F.col("hash"))
@@ -307,8 +334,9 @@ def covered(places, size: int, n: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def with_places(docs: DataFrame, kind: Kind, hot: int = HOT) -> DataFrame:
-    """docs and their places. Rows of one id and text share them."""
+def with_places(docs: DataFrame, kind: Kind, hot: int = HOT) -> tuple[DataFrame, str]:
+    """docs with a column of their places, and its name. Rows of one id and text share them."""
     found = repeated(docs, kind, hot)
-    keyed = docs.withColumn("_doc", ordering_id()).withColumn("_row", F.xxhash64(F.col("text").cast("string")))
-    return keyed.join(found.withColumnsRenamed({"doc": "_doc", "row": "_row", "places": "_places"}), ["_doc", "_row"], "left").drop("_doc", "_row")
+    doc, row, places = fresh(docs, "_doc", "_row", "_places")
+    keyed = docs.withColumn(doc, document()).withColumn(row, F.xxhash64(F.col("text").cast("string")))
+    return keyed.join(found.withColumnsRenamed({"doc": doc, "row": row, "places": places}), [doc, row], "left").drop(doc, row), places

@@ -51,15 +51,14 @@ def _words_at(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sort_directly(data: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of their first `depth` bytes, eight at a time, ties alone going on."""
+def _sort_directly(data: np.ndarray, eight: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Positions in the order of their first `depth` bytes, eight (_words_at) at a time, ties alone going on."""
     if not len(at):
         return at
-    eight = _words_at(data)
     at = at[np.argsort(eight[at], kind="stable")]
-    key, own, tied = eight[at], np.zeros(len(at), np.int64), np.arange(len(at))
+    key, own, tied = eight[at], np.zeros(len(at), np.int32), np.arange(len(at), dtype=np.int32)
     for k in range(8, depth + 8, 8):
-        own = np.cumsum(np.concatenate([[True], (own[1:] != own[:-1]) | (key[1:] != key[:-1])]))
+        own = np.cumsum(np.concatenate([[True], (own[1:] != own[:-1]) | (key[1:] != key[:-1])]), dtype=np.int32)
         again = np.bincount(own)[own] > 1
         tied, own = tied[again], own[again]
         if k >= depth or not len(tied):
@@ -72,7 +71,7 @@ def _sort_directly(data: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return at
 
 
-def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
+def suffix_order(data: np.ndarray, depth: int, eight: np.ndarray | None = None) -> np.ndarray:
     """Suffixes of data (bytes above 0, strings ended by 0) in the order of their first `depth` bytes, 0 ending a string.
 
     Two stages. Ties beyond `depth` bytes or beyond a string's end are in any order.
@@ -81,10 +80,10 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     ahead = np.empty(n, np.int16)
     ahead[:-1] = data[1:]
     ahead[-1:] = -1
-    change = np.flatnonzero(data != ahead)  # the last of each run of equal bytes
-    end = change[np.searchsorted(change, np.arange(n))]
-    smaller = (data < ahead)[end]  # than the successor
-    direct = _sort_directly(data, np.flatnonzero(smaller & (data > 0)), depth)
+    change = np.flatnonzero(data != ahead).astype(np.int32)  # the last of each run of equal bytes
+    smaller = np.repeat(data[change] < ahead[change], np.diff(change, prepend=np.int32(-1)))  # than the successor
+    del ahead, change
+    direct = _sort_directly(data, _words_at(data) if eight is None else eight, np.flatnonzero(smaller & (data > 0)).astype(np.int32), depth)
     sizes = np.bincount(data, minlength=257)
     direct_at = np.concatenate([[0], np.cumsum(np.bincount(data[direct], minlength=257))])
     waiting: list[list[np.ndarray]] = [[] for _ in range(257)]
@@ -93,11 +92,11 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
         if not sizes[c]:
             continue
         if c == 0:
-            parts = [np.flatnonzero(data == 0)]
+            parts = [np.flatnonzero(data == 0).astype(np.int32)]
         else:
             parts = waiting[c]
             waiting[c] = []
-            new = np.concatenate(parts) if parts else np.empty(0, np.int64)
+            new = np.concatenate(parts) if parts else np.empty(0, np.int32)
             while len(new):  # runs of c
                 new = new[new > 0] - 1
                 new = new[(data[new] == c) & ~smaller[new]]
@@ -114,19 +113,18 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
         edges = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else []
         for part, d in zip(np.split(before[order], edges[1:]) if len(first) else [], first[edges] if len(first) else [], strict=True):
             waiting[d].append(part)
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+    return np.concatenate(out) if out else np.empty(0, np.int32)
 
 
-def equal_groups(data: np.ndarray, order: np.ndarray, usable: np.ndarray, depth: int) -> np.ndarray:
-    """Group number of each usable suffix in order; suffixes with a common prefix of `depth` bytes share one."""
-    eight = _words_at(data)
+def equal_groups(eight: np.ndarray, order: np.ndarray, usable: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Usable suffixes in order and their group numbers; suffixes with a common prefix of `depth` bytes share one. eight: _words_at."""
     order = order[usable[order]]
     same = np.ones(max(len(order) - 1, 0), bool)
     a, b = order[:-1], order[1:]
     for k in [*range(0, depth - 7, 8), depth - 8]:
         live = np.flatnonzero(same)
         same[live] = eight[a[live] + k] == eight[b[live] + k]
-    return order, np.cumsum(np.concatenate([[0], ~same])) if len(order) else np.empty(0, np.int64)
+    return order, np.cumsum(np.concatenate([[0], ~same]), dtype=np.int32) if len(order) else np.empty(0, np.int64)
 
 
 def locate(rows) -> list[tuple[int, int, int]]:
@@ -142,12 +140,14 @@ def locate(rows) -> list[tuple[int, int, int]]:
     if not kept:
         return out
     data = np.frombuffer(b"".join(rows[k][5] + b"\xff" for k in kept), np.uint8) + np.uint8(1)  # UTF-8 has no 255
-    lengths = np.array([len(rows[k][5]) + 1 for k in kept])
-    starts = np.cumsum(lengths) - lengths
-    windows = np.array([rows[k][4] for k in kept])
-    text = np.repeat(np.arange(len(kept)), lengths)
-    usable = np.arange(len(data)) - starts[text] < windows[text]
-    order, group = equal_groups(data, suffix_order(data, WINDOW), usable, WINDOW)
+    lengths = np.array([len(rows[k][5]) + 1 for k in kept], np.int32)
+    starts = np.cumsum(lengths, dtype=np.int32) - lengths
+    windows = np.array([rows[k][4] for k in kept], np.int32)
+    text = np.repeat(np.arange(len(kept), dtype=np.int32), lengths)
+    usable = np.arange(len(data), dtype=np.int32) - starts[text] < windows[text]
+    eight = _words_at(data)
+    order, group = equal_groups(eight, suffix_order(data, WINDOW, eight), usable, WINDOW)
+    del eight, usable
     # kept is in the order of documents and starts within an anchor value, and equal strings share the value
     by_place = np.lexsort((order, group))
     order, group = order[by_place], group[by_place]
@@ -161,7 +161,7 @@ def locate(rows) -> list[tuple[int, int, int]]:
     return out
 
 
-BYTES = Kind(WINDOW, GRAM, True, _byte_values, locate)
+BYTES = Kind(WINDOW, GRAM, True, _byte_values, locate, 4_000_000)
 
 
 def cut_bytes(text: str | None, places) -> tuple[bytes, int, int, int]:
@@ -187,7 +187,7 @@ def _digest(batches):
 def byte_counts(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row of docs (doc_id, text)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return with_places(own, BYTES, hot).mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_places(own, BYTES, hot)[0].mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
