@@ -30,6 +30,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 LETTERS, NUMBERS = "a-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"
 
+#: Tab to carriage return, and the visible characters below U+0250 whose lower-case form stays below it: the letters of SPLIT are then those of the vocabulary's rule.
+PLAIN = "".join(map(re.escape, [*"\t\n\x0b\x0c\r", *(chr(p) for p in range(0x20, 0x250) if p != 0xAD and not 0x7F <= p < 0xA1 and max(map(ord, chr(p).lower())) < 0x250)]))
 #: The vocabulary shows a byte that is no visible Latin-1 character as the next free character from U+0100 on.
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
 
@@ -39,8 +41,9 @@ class Tokens(dict):
 
     The vocabulary drops white space and splits before merging, so a text's ids are those of
     its parts in turn. Parts not met before go to the merge model alone. Texts with
-    characters beyond Latin, unusual white space or the mark of a special token are encoded
-    by the tokenizer as they stand. Memory is bounded by clearing.
+    characters beyond PLAIN (other scripts, capitals whose small letter lies beyond, unusual
+    white space) or the mark of a special token are encoded by the tokenizer as they stand.
+    Memory is bounded by clearing.
     """
 
     def __init__(self, path: str, most: int = 700_000):
@@ -49,7 +52,7 @@ class Tokens(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self.split, self.plain = re.compile(SPLIT).findall, re.compile("[\t-\r -~¡-¬®-ɏ]*").fullmatch
+        self.split, self.plain = re.compile(SPLIT).findall, re.compile(f"[{PLAIN}]*").fullmatch
 
     def direct(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
