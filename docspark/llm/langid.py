@@ -2,14 +2,17 @@
 
 The kernel of two texts counts the n-grams of 1 to 3 letters that both contain (a blended
 spectrum of presences), divided by the root of the product of their own counts. Nystroem
-landmarks, LANDMARKS of the learning texts dealt over the languages, turn it into features
+landmarks, LANDMARKS of the learning texts dealt over the languages (one of each at least), turn it into features
 K(x, L) K(L, L)^(-1/2); one-versus-rest kernel ridge regression with targets 0 and 1 is
 solved on them. Because K(x, L) is a product of presence vectors, a batch of texts is scored
 by sparse presence times a (gram, language) matrix that folds in landmarks, whitening and
 ridge weights, so each n-gram of a text costs one row of that matrix.
 
-The classifier learns from SAMPLE texts at most (dealt evenly over the languages, those with
-the least hash of the text), the documented bound of what reaches the driver. The rows it may
+N-grams are hashes of small letters' full code points, so scripts and letters stay apart.
+
+The classifier learns from SAMPLE different texts at most (dealt evenly over the languages,
+MOST a language, those with the least hash; one text of each where there are more languages),
+the documented bound of what reaches the driver. Every language is learnt. The rows it may
 learn from have a non-null language and crc32(doc_id as text) mod 5 other than 0. Whole texts
 are read both in learning and in prediction; id, source and language are never inputs of a
 prediction. The score is the winner's regression value, cut to 0 to 1.
@@ -23,63 +26,75 @@ one output row. Other columns are ignored.
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table, text_groups
 
-SAMPLE, LANDMARKS, RIDGE, MAX_LANGUAGES = 2_000, 256, 1e-3, 256
-BITS, LENGTHS = 8, 3
+SAMPLE, MOST, LANDMARKS, RIDGE = 2_000, 1_000, 256, 1e-3
+CODE_BITS = 24
+LAST_POINT = 0x323FF  # the last plane that holds letters
+FACTORS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)]
+GATHERED = 2_000_000  # numbers of the matrix added up at a time
 UND = "und"
-SHORTER, UNUSED = 0xFF0000, 0xFF00
-
-
-def _symbols() -> np.ndarray:
-    """Letter numbers below U+0250 (a letter and its capital share one); 0 for what is no letter."""
-    out, letters = np.zeros(0x250, np.uint8), {}
-    for cp in range(0x250):
-        low = chr(cp).lower()[0]
-        if unicodedata.category(chr(cp))[0] == "L":
-            out[cp] = letters.setdefault(low, 1 + len(letters) % 180)
-    return out
-
 
-SYMBOLS = _symbols()
 
-
-def symbols(text: str) -> np.ndarray:
-    """Letter numbers of a text; runs of other characters become one 0; letters beyond Latin share 64 numbers."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = SYMBOLS[np.minimum(points, 0x24F)]
-    far = np.flatnonzero(points >= 0x250)
-    if len(far):
-        letter = np.fromiter((chr(c).isalpha() for c in points[far].tolist()), bool, len(far))
-        out[far] = np.where(letter, 190 + points[far] % 64, 0)
+@cache
+def _points() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point its small letter (0 for what is neither letter nor mark), and whether it is a letter."""
+    small, letter = np.zeros(LAST_POINT + 2, np.uint32), np.zeros(LAST_POINT + 2, bool)
+    for cp in range(LAST_POINT + 1):
+        kind = unicodedata.category(chr(cp))[0]
+        if kind in "LM":
+            small[cp] = ord(chr(cp).lower()[0])
+            letter[cp] = kind == "L"
+    return small, letter
+
+
+def symbols(text: str) -> np.ndarray | None:
+    """Small letters and marks of a text as code points, runs of other characters as one 0; None without a letter."""
+    small, letter = _points()
+    points = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), LAST_POINT + 1)
+    if not letter[points].any():
+        return None
+    out = small[points]
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != 0) | (out[:-1] != 0)
     return out[keep]
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """CODE_BITS well-mixed bits of 32."""
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    x = (x ^ (x >> np.uint32(12))) * np.uint32(0x297A2D39)
+    return (x ^ (x >> np.uint32(15))) >> np.uint32(32 - CODE_BITS)
+
+
 class Presence:
-    """Different n-grams of a text as codes of 24 bits, without sorting. Shorter ones begin with the number no letter has."""
+    """Different n-grams of a text as hashes of CODE_BITS bits, without sorting."""
 
     def __init__(self):
-        self.stamp = np.zeros(1 << (BITS * LENGTHS), np.int32)
+        self.stamp = np.zeros(1 << CODE_BITS, np.int32)
 
     def of(self, text: str | None) -> np.ndarray | None:
-        s = symbols(text).astype(np.int32) if text else np.empty(0, np.int32)
-        if not s.any():
+        s = symbols(text) if text else None
+        if s is None:
             return None
-        s = np.concatenate([[0], s, [0]]) if s[0] or s[-1] else s
-        parts, pairs = [], (s[:-1] << BITS) | s[1:]
-        for codes in (SHORTER | UNUSED | s, SHORTER | pairs, (pairs[:-1] << BITS) | s[2:]):
-            at = np.arange(len(codes), dtype=np.int32)
-            self.stamp[codes] = at
-            parts.append(codes[self.stamp[codes] == at])
-        return np.concatenate(parts)
+        s = np.concatenate([[0], s, [0]]).astype(np.uint32) if s[0] or s[-1] else s
+        parts = []
+        with np.errstate(over="ignore"):
+            code = np.zeros(len(s), np.uint32)
+            for n, factor in enumerate(FACTORS):
+                code = code[: len(s) - n] + (s[n:] + np.uint32(1)) * factor
+                mixed = _mixed(code)
+                at = np.arange(len(mixed), dtype=np.int32)
+                self.stamp[mixed] = at
+                parts.append(mixed[self.stamp[mixed] == at])
+        return np.unique(np.concatenate(parts)).astype(np.int32)
 
 
 def _grams(batches):
@@ -90,11 +105,16 @@ def _grams(batches):
         yield pa.record_batch([batch.column(0).take(pa.array(ok, pa.int64())), pa.array([got[i] for i in ok], pa.list_(pa.int32()))], names=["lang", "grams"])
 
 
-def fit(langs: list[str], grams: list[np.ndarray], landmarks: int = LANDMARKS, ridge: float = RIDGE):
-    """Labels, sorted gram codes and the (gram, label) matrix of the folded regression."""
+def landmarks_of(langs: list[str], n: int = LANDMARKS) -> list[int]:
+    """Numbers of the texts taken as landmarks: the languages' texts by turns, and each language's first one at least."""
     labels = sorted(set(langs))
     turn = {name: [i for i, x in enumerate(langs) if x == name] for name in labels}
-    chosen = [turn[name][k] for k in range(max(map(len, turn.values()))) for name in labels if k < len(turn[name])][:landmarks]
+    return [turn[name][k] for k in range(max(map(len, turn.values()))) for name in labels if k < len(turn[name])][: max(n, len(labels))]
+
+
+def fit(langs: list[str], grams: list[np.ndarray], landmarks: int = LANDMARKS, ridge: float = RIDGE):
+    """Labels, sorted gram codes and the (gram, label) matrix of the folded regression."""
+    labels, chosen = sorted(set(langs)), landmarks_of(langs, landmarks)
     vocabulary = np.unique(np.concatenate([grams[i] for i in chosen]))
 
     def presence(which):
@@ -118,7 +138,8 @@ def _predict(shared):
     def run(batches):
         labels, vocabulary, matrix = shared.value
         seen = Presence()
-        place = np.full(1 << (BITS * LENGTHS), -1, np.int32) if labels else None
+        place = np.full(1 << CODE_BITS, -1, np.int32) if labels else None
+        step = max(1, GATHERED // max(1, len(labels)))
         if labels:
             place[vocabulary] = np.arange(len(vocabulary), dtype=np.int32)
         for ids, held, texts in text_groups(batches, ["doc_id", "held_out", "text"]):
@@ -126,10 +147,13 @@ def _predict(shared):
             lang, score = [UND] * len(texts), np.zeros(len(texts))
             ok = [i for i, g in enumerate(grams) if g is not None]
             if ok:
-                rows = [p[p >= 0] for p in (place[grams[i]] for i in ok)]
-                edges = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-                sums = np.concatenate([np.zeros((1, len(labels))), np.cumsum(matrix[np.concatenate(rows)], 0, dtype=np.float64)])
-                values = (sums[edges[1:]] - sums[edges[:-1]]) / np.sqrt([len(grams[i]) for i in ok])[:, None]
+                values = np.zeros((len(ok), len(labels)))
+                for out, i in zip(values, ok, strict=True):
+                    rows = place[grams[i]]
+                    rows = rows[rows >= 0]
+                    for k in range(0, len(rows), step):
+                        out += matrix[rows[k : k + step]].sum(0, dtype=np.float64)
+                    out /= np.sqrt(len(grams[i]))
                 best = values.argmax(1)
                 for i, b, v in zip(ok, best, values[np.arange(len(ok)), best], strict=True):
                     lang[i], score[i] = labels[b], min(1.0, max(0.0, v))
@@ -139,16 +163,20 @@ def _predict(shared):
 
 
 def train(docs: DataFrame, sample: int = SAMPLE):
-    """Fit on at most `sample` rows of docs (lang, text) with a language; what reaches the driver is their n-grams."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.abs(F.xxhash64("text") % 1_000_000).alias("draw"))
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not sizes:
+    """Fit on the learning texts of docs (lang, text); what reaches the driver is their n-grams.
+
+    Those are, of each language, the texts with the least hashes: sample divided by the number
+    of languages, one at least and MOST at most. Copies of a text are one text.
+    """
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("draw"))
+    n = known.select("lang").distinct().count()
+    if not n:
         return [], None, None
-    each = max(1, sample // len(sizes))
-    limit = F.lit(0)
-    for name, n in sizes.items():
-        limit = F.when(F.col("lang") == name, int(1_000_000 * min(1.0, each / n)) + 1).otherwise(limit)
-    got = known.where(F.col("draw") < limit).select("lang", "text").mapInArrow(_grams, "lang string, grams array<int>").toArrow()
+    each = min(MOST, max(1, sample // n))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))  # tasks keep `each` rows a language before the exchange
+    last = known.select("lang", "draw").distinct().withColumn("place", place).where(F.col("place") <= each).groupBy("lang").agg(F.max("draw").alias("last"))
+    drawn = known.join(F.broadcast(last), "lang").where("draw <= last")  # last: one row a language
+    got = drawn.groupBy("lang", "draw").agg(F.first("text").alias("text")).select("lang", "text").mapInArrow(_grams, "lang string, grams array<int>").toArrow()
     order = sorted(zip(got["lang"].to_pylist(), (np.sort(x.values.to_numpy()) for x in got["grams"]), strict=True), key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
     spread = np.random.default_rng(42).permutation(len(order))
     langs, grams = [order[i][0] for i in spread], [order[i][1] for i in spread]
