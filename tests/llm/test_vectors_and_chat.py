@@ -46,7 +46,31 @@ def test_top_k_edges(spark):
     one = spark.createDataFrame([(0, [1.0], 0)], VECTORS)
     assert topk.top_k(one, F.expr("vec_id % 50 = 0")).count() == 0
     clash = spark.createDataFrame(vectors(), VECTORS).select("*", *[F.lit(1).alias(n) for n in ("v", "g", "block", "step", "side", "norm2", "rank")])
-    assert topk.top_k(clash, F.expr("vec_id % 50 = 0")).count() == len(plain_top(vectors(), 5))
+    assert {tuple(r) for r in topk.top_k(clash, F.expr("vec_id % 50 = 0")).collect()} == plain_top(vectors(), 5)
+
+
+def test_bounds_spare_most_scores():
+    """With lengths that spread, most pairs never get an exact score, and thresholds carried over spare more."""
+    r = np.random.default_rng(4)
+    v = np.floor(r.normal(size=(4_000, 32)) * r.pareto(2, size=(4_000, 1)) * 64)
+    ids, q = np.arange(4_000), v[::50]
+    length = np.sqrt(np.einsum("ij,ij->i", v, v))
+    order = np.argsort(-length, kind="stable")
+    rotation = np.linalg.svd(v[:500])[2].T
+    rotated = v[order] @ rotation
+    rest = np.sqrt(np.maximum((rotated[:, 12:] ** 2).sum(1), 0))
+    block = lambda a, b: (ids[order[a:b]], v[order[a:b]], length[order[a:b]], rotated[a:b, :12], rest[a:b], rotation)
+    every, alone, carried = [], [], []
+    at, _, scores = topk.best_in_block(ids[::50], q, np.full(80, -np.inf), block(0, 4_000), 5, 64, every)
+    exact = q @ v.T
+    exact[np.arange(80), ids[::50]] = -np.inf
+    assert all(sorted(scores[at == i]) == sorted(np.sort(exact[i])[-5:]) for i in range(80))
+    assert sum(every) < 0.25 * exact.size
+    at, _, scores = topk.best_in_block(ids[::50], q, np.full(80, -np.inf), block(0, 400), 5, 64)
+    least = np.array([scores[at == i].min() for i in range(80)], np.float64)
+    topk.best_in_block(ids[::50], q, np.full(80, -np.inf), block(400, 4_000), 5, 64, alone)
+    topk.best_in_block(ids[::50], q, least, block(400, 4_000), 5, 64, carried)
+    assert sum(carried) < 0.2 * sum(alone)
 
 
 def shown(role, text):
@@ -84,23 +108,10 @@ def test_chat_like_sql(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
-def test_pipeline(spark):
-    corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    from docspark.llm import mixing, packing, phrases, quality, simhash
-    from docspark.llm.common import cut
-
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    steps = [quality.keep_good, simhash.keep_one, phrases.remove_phrases, lambda d: mixing.take(d, share_percent=corpus_pipeline.MIX_PERCENT)]
-    counts = [docs.count()]
-    now = docs
-    for (_, stage), step in zip(corpus_pipeline.STAGES, steps, strict=False):
-        want = step(now)
-        now = cut(stage(spark, now, sf))
-        assert now.columns == docs.columns
-        assert {r["doc_id"] for r in now.collect()} == {r["doc_id"] for r in want.collect()}
-        counts.append(now.count())
-    assert counts[0] > counts[1] > counts[2] >= counts[3] > counts[4] > 0
-    packed = corpus_pipeline.run(spark, sf)
-    key = lambda d: sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in d.collect())
-    assert key(packed) == key(packing.pack(now, packing.vocabulary()))
+def test_chat_clashing_and_long(spark):
+    long = [(100, t, "user" if t % 2 == 0 else "assistant", "turn %d " % t * 400) for t in range(300)] + [(101, t, "user" if t % 2 == 0 else "assistant", "turn %d " % t * 400) for t in range(299)]
+    frame = spark.createDataFrame(TALKS + long, TURNS)
+    clash = frame.select("*", *[F.lit("x").alias(n) for n in ("pair_id", "side", "m", "body", "mask", "c", "r", "apart", "prompt")])
+    got = {x["pair_id"]: x for x in chat.preference_pairs(clash).collect()}
+    assert got == {x["pair_id"]: x for x in chat.preference_pairs(frame).collect()}
+    assert got[50]["prompt_turns"] == 299 and got[50]["rejected"] == "" and got[50]["chosen"] == shown("assistant", "turn 299 " * 400)
