@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import PROVENANCE
+from . import gates
 
-KEYS = ["doc_key", "agent", "jurisdiction"]
+KEYS, VERSION = ["doc_key", "agent", "jurisdiction"], "0.1.0"
 
 
 def long_form(records: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
@@ -18,12 +22,32 @@ def long_form(records: DataFrame, keys: list[str], value: str = "value") -> Data
 
 
 def compare(expected: DataFrame, actual: DataFrame, keys: list[str], match: Column | None = None) -> DataFrame:
-    """keys, field, expected, actual, matched: a row wherever either side has text."""
-    both = long_form(expected, keys, "expected").join(long_form(actual, keys, "actual"), [*keys, "field"], "full_outer")
-    filled = both.withColumns({"expected": F.coalesce("expected", F.lit("")), "actual": F.coalesce("actual", F.lit(""))}).where("expected <> '' OR actual <> ''")
+    """keys, field, expected, actual, matched: a row wherever either side has text.
+
+    Records are joined whole, one row a key, and only then cut into fields, so a key's fields
+    cross the exchange once.
+    """
+    sides, names = [], []
+    for frame, side in ((expected, "_e"), (actual, "_a")):
+        fields = [c for c in frame.columns if c not in keys and c not in PROVENANCE]
+        names += [f for f in fields if f not in names]
+        sides.append(frame.select(*keys, F.struct(*[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields]).alias(side)))
+    both = sides[0].join(sides[1], keys, "full_outer")
+    value = lambda side, frame, f: F.coalesce(F.col(side)[f], F.lit("")) if f in frame.columns else F.lit("")
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), value("_e", expected, f).alias("expected"), value("_a", actual, f).alias("actual")) for f in names])
+    filled = both.select(*keys, F.explode(F.filter(fields, lambda x: (x["expected"] != "") | (x["actual"] != ""))).alias("f")).select(*keys, "f.field", "f.expected", "f.actual")
     return filled.withColumn("matched", match if match is not None else F.col("expected") == F.col("actual"))
 
 
+def paired(keys: DataFrame, results: DataFrame, ordinal: str = "ordinal", key: str = "key") -> DataFrame:
+    """keys with the results of the same ordinal. The two must correspond one to one: a row that the other side lacks, or another key there, is an error."""
+    right = results.select(F.col(ordinal), F.col(key).alias("_key"), F.struct(*[c for c in results.columns if c != ordinal]).alias("result"))
+    both = keys.join(right, ordinal, "full_outer")
+    broken = F.col(key).isNull() | F.col("_key").isNull() | (F.col(key) != F.col("_key"))
+    same = F.when(broken, F.raise_error(F.concat(F.lit("keys and results do not correspond at "), F.col(ordinal).cast("string")))).otherwise(F.col(key))
+    return both.withColumn(key, same).drop("_key")
+
+
 def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0)).cast("double")
 
@@ -62,13 +86,37 @@ def totals(results: DataFrame, doc_key: str = "doc_key") -> DataFrame:
     return per_doc.agg(F.sum("n").alias("examples"), F.sum("s").alias("total_cost_usd"), F.sum("m").alias("distinct_doc_cost_usd"))
 
 
-def scorecard_json(results: DataFrame) -> DataFrame:
-    """One row, `scorecard`: nested maps of agents, fields and jurisdictions. Sizes are those of the registries."""
-    agents = by_agent(results).select(F.struct("agent", F.struct("precision", "recall", "field_coverage", "examples")).alias("e"))
-    fields = by_field(results).groupBy("agent").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", F.struct("match_rate", "examples"))))).alias("m"))
-    places = by_jurisdiction(results).groupBy("jurisdiction").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("agent", F.struct("precision", "recall", "field_coverage", "examples"))))).alias("m"))
-    one = lambda d, c: d.agg(F.map_from_entries(F.sort_array(F.collect_list(c))).alias("x")).withColumn("k", F.lit(0))
-    joined = one(agents, "e").withColumnRenamed("x", "per_agent")
-    joined = joined.join(fields.agg(F.map_from_entries(F.collect_list(F.struct("agent", "m"))).alias("per_field")).withColumn("k", F.lit(0)), "k")
-    joined = joined.join(places.agg(F.map_from_entries(F.collect_list(F.struct("jurisdiction", "m"))).alias("per_jurisdiction")).withColumn("k", F.lit(0)), "k")
-    return joined.select(F.to_json(F.struct("per_agent", "per_field", "per_jurisdiction")).alias("scorecard"))
+def scorecard(results: DataFrame, version: str = VERSION, timestamp: str | None = None, ceiling: float | None = None, doc_key: str | None = None) -> DataFrame:
+    """One row: maps per_agent, per_field and per_jurisdiction, total_examples, total_cost_usd, cost_breach, extractor_version and run_timestamp. Sizes are those of the registries.
+
+    Cost is summed over rows, or once for each doc_key where one is named. Without a cost_usd column it is 0.
+    """
+    if "cost_usd" not in results.columns:
+        results = results.withColumn("cost_usd", F.lit(0.0))
+    metrics = F.struct("precision", "recall", "field_coverage", "examples")
+    by_name = lambda x, y: F.when(x["name"] < y["name"], -1).when(x["name"] > y["name"], 1).otherwise(0)
+    entries = lambda c, name: F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), c)), by_name))
+    agents = by_agent(results).agg(entries(metrics.alias("m"), "agent").alias("per_agent"))
+    fields = by_field(results).groupBy("agent").agg(entries(F.struct("match_rate", "examples").alias("m"), "field").alias("m")).agg(entries(F.col("m"), "agent").alias("per_field"))
+    places = by_jurisdiction(results).groupBy("jurisdiction").agg(entries(metrics.alias("m"), "agent").alias("m")).agg(entries(F.col("m"), "jurisdiction").alias("per_jurisdiction"))
+    if doc_key is None:
+        cost = results.agg(F.count("*").alias("total_examples"), F.coalesce(F.sum("cost_usd"), F.lit(0.0)).alias("total_cost_usd"))
+    else:
+        cost = totals(results, doc_key).select(F.coalesce("examples", F.lit(0)).alias("total_examples"), F.coalesce("distinct_doc_cost_usd", F.lit(0.0)).alias("total_cost_usd"))
+    whole = agents.crossJoin(fields).crossJoin(places).crossJoin(cost)  # one row each
+    return whole.withColumns({"cost_breach": gates.run_breach(F.col("total_cost_usd"), gates.RUN_CEILING if ceiling is None else ceiling), "extractor_version": F.lit(version), "run_timestamp": F.lit(timestamp or utc_now())})
+
+
+def scorecard_json(results: DataFrame, **options) -> DataFrame:
+    """One row, `scorecard`: the scorecard as compact JSON, letters as they are."""
+    return scorecard(results, **options).select(F.to_json(F.struct("*")).alias("scorecard"))
+
+
+def pretty(text: str) -> str:
+    """JSON with two blanks of indentation, letters as they are."""
+    return json.dumps(json.loads(text), indent=2, ensure_ascii=False)
+
+
+def utc_now() -> str:
+    """The time in UTC, to the second, as ISO text; made outside plans, so that a plan gives the same result again."""
+    return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")

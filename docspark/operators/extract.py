@@ -11,12 +11,23 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RESULT = "key string, doc_type string, fields map<string,string>, status string, error string, attempts array<struct<tier:string,success:boolean,latency_ms:double,agent:string>>"
+ATTEMPT = "struct<tier:string,success:boolean,latency_ms:double,agent:string,provider:string,model:string,cost_usd:double>"
+RESULT = f"ordinal long, key string, doc_type string, fields map<string,string>, status string, error string, attempts array<{ATTEMPT}>"
+
+
+class Answer(dict):
+    """Fields, with what the service said about the call that gave them."""
+
+    def __init__(self, fields: dict[str, str], provider: str = "", model: str = "", cost_usd: float = 0.0):
+        super().__init__(fields)
+        self.said = {"provider": provider, "model": model, "cost_usd": cost_usd}
 
 
 class RateLimited(Exception):
@@ -27,6 +38,9 @@ class Invalid(Exception):
     """The answer broke the record's schema."""
 
 
+NOTHING_SAID = {"provider": "", "model": "", "cost_usd": 0.0}
+
+
 def attempt(call: Callable, row: dict, tier: str, above: dict[str, str], agent: str, tries: int = 3, base: float = 1.0, sleep: Callable = time.sleep, seed: int = 0):
     """fields, status, error, attempts of one row: rate limits are waited out, an invalid answer is asked for once more one tier up."""
     if tries < 1:
@@ -35,11 +49,11 @@ def attempt(call: Callable, row: dict, tier: str, above: dict[str, str], agent:
     while True:
         for n in range(tries):
             began = time.monotonic()
-            log = lambda ok: made.append({"tier": tier, "success": ok, "latency_ms": 1000 * (time.monotonic() - began), "agent": agent})  # noqa: E731, B023
+            log = lambda ok, said=NOTHING_SAID: made.append({"tier": tier, "success": ok, "latency_ms": 1000 * (time.monotonic() - began), "agent": agent, **said})  # noqa: E731, B023
             try:
                 fields = call(row, tier)
-                log(True)
-                return fields, "passed", "", made
+                log(True, getattr(fields, "said", NOTHING_SAID))
+                return dict(fields), "passed", "", made
             except RateLimited:
                 log(False)
                 if n + 1 == tries:
@@ -60,20 +74,62 @@ def attempt(call: Callable, row: dict, tier: str, above: dict[str, str], agent:
 
 
 def extract(rows: DataFrame, call: Callable, tier: str = "rules", above: dict[str, str] | None = None, concurrency: int = 10, tries: int = 3, base: float = 1.0) -> DataFrame:
-    """One result row for each row of rows (key, doc_type, text). concurrency: tasks at a time that call the extractor."""
+    """One result row for each row of rows (key, doc_type, text). `ordinal` is the input's place: its own column of that name, else one that follows the rows' order.
+
+    concurrency bounds the calls under way, not the partitions: each of the cluster's cores
+    gets its share as threads, and where there are more cores than calls, partitions are merged.
+    """
     if concurrency < 1:
         raise ValueError("concurrency must be positive")
-    above = above or {}
+    above, cores = above or {}, rows.sparkSession.sparkContext.defaultParallelism
+    threads = max(1, concurrency // cores)
+
+    def one(row: dict) -> tuple:
+        fields, status, error, made = attempt(call, row, tier, above, row["doc_type"], tries, base)
+        return row["ordinal"], row["key"], row["doc_type"], fields, status, error, made
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for row in frame.to_dict("records"):
-                fields, status, error, made = attempt(call, row, tier, above, row["doc_type"], tries, base)
-                out.append((row["key"], row["doc_type"], fields, status, error, made))
-            yield pd.DataFrame(out, columns=["key", "doc_type", "fields", "status", "error", "attempts"])
+        with ThreadPoolExecutor(threads) as pool:
+            for frame in frames:
+                out = list((pool.map if threads > 1 else map)(one, frame.to_dict("records")))
+                yield pd.DataFrame(out, columns=["ordinal", "key", "doc_type", "fields", "status", "error", "attempts"])
+
+    place = F.col("ordinal").cast("long") if "ordinal" in rows.columns else F.monotonically_increasing_id()
+    some = rows.select(place.alias("ordinal"), "key", "doc_type", "text")
+    return (some.coalesce(concurrency) if concurrency < cores else some).mapInPandas(run, RESULT)
 
-    return rows.select("key", "doc_type", "text").repartition(concurrency).mapInPandas(run, RESULT)
+
+def with_provenance(results: DataFrame, config: DataFrame, version: str, timestamp: str) -> DataFrame:
+    """results whose fields hold provider, model, prompt version, extractor version and time; what a field says already stays.
+
+    config: doc_type, provider, model, prompt_version, one row a type. The last attempt's own words come before config.
+    """
+    named = results.join(F.broadcast(config), "doc_type", "left")  # one row a type
+    last = F.try_element_at("attempts", F.lit(-1))
+    own = {
+        "extractor_version": F.lit(version), "extraction_provider": F.coalesce(F.nullif(last["provider"], F.lit("")), F.col("provider")), "extraction_model": F.coalesce(F.nullif(last["model"], F.lit("")), F.col("model")),
+        "extraction_timestamp": F.lit(timestamp), "prompt_version": F.col("prompt_version"),
+    }
+    filled = F.map_filter("fields", lambda k, v: F.coalesce(v, F.lit("")) != "")
+    made = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(k).alias("key"), F.coalesce(v, F.lit("")).alias("value")) for k, v in own.items()]), lambda e: ~F.map_contains_key(filled, e["key"])))
+    return named.withColumn("fields", F.when(F.col("status") == "passed", F.map_concat(made, F.map_filter("fields", lambda k, v: ~F.map_contains_key(made, k)))).otherwise(F.col("fields"))).select(*results.columns)
+
+
+def failures(results: DataFrame, version: str, timestamp: str) -> DataFrame:
+    """The disagreement records of keys that could not be extracted: no primary, no verifier, the status tells why."""
+    none = F.lit(None).cast("string")
+    return results.where(F.col("status").isin(FAILED)).select("key", F.col("key").alias("source_key"), none.alias("primary"), none.alias("verifier"), "status", F.lit(version).alias("extractor_version"), F.lit(timestamp).alias("timestamp"))
+
+
+#: Statuses of a key without a record.
+FAILED = ["rate_limited", "provider_unavailable", "failed"]
+
+
+def run_response(response) -> dict:
+    """raw_text, provider, model, cost_usd and latency_ms of a service's response (messages, model_provider, model, metrics (cost, duration in seconds)); '' and 0 where it says nothing."""
+    number = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    said = lambda c: F.coalesce(c, F.lit(""))
+    return {"raw_text": last_message(response["messages"]), "provider": said(response["model_provider"]), "model": said(response["model"]), "cost_usd": number(response["metrics"]["cost"]), "latency_ms": number(response["metrics"]["duration"]) * 1000}
 
 
 def rule_extractor(row: dict, tier: str) -> dict[str, str]:
@@ -88,7 +144,13 @@ def rule_extractor(row: dict, tier: str) -> dict[str, str]:
 
 def attempt_rows(results: DataFrame) -> DataFrame:
     """Telemetry: one row per attempt, with its number as retry_count."""
-    return results.select("key", "doc_type", F.posexplode("attempts").alias("retry_count", "a")).select("key", "doc_type", "retry_count", "a.tier", "a.success", "a.latency_ms", "a.agent")
+    return results.select("key", "doc_type", F.posexplode("attempts").alias("retry_count", "a")).select("key", "doc_type", "retry_count", "a.*")
+
+
+def last_messages(rows: DataFrame, key: str, turn: str, role: str = "role", content: str = "text") -> DataFrame:
+    """key, said: the content of the last assistant message that has any, '' without one; nothing but that message is held."""
+    said = (F.col(role) == "assistant") & (F.coalesce(F.col(content), F.lit("")) != "")
+    return rows.groupBy(key).agg(F.coalesce(F.max_by(F.when(said, F.col(content)), F.when(said, F.col(turn))), F.lit("")).alias("said"))
 
 
 def last_message(messages) -> object:
@@ -139,6 +201,7 @@ def specialist(doc_type: str) -> Callable:
     return call
 
 
+@cache
 def registry() -> dict[str, Callable]:
     """doc_type -> extractor, for all fifteen types."""
     from ..schemas import DOC_TYPES

@@ -44,9 +44,14 @@ def successes(events: DataFrame) -> DataFrame:
 
 
 def median_gate(events: DataFrame, days: int = 7, ceiling: float = MEDIAN_CEILING) -> DataFrame:
-    """median_usd, records, days, passed over the successful records of the newest days."""
+    """median_usd, records, days, passed over the successful records of the newest days.
+
+    The exact median merges a map of costs to counts, whose size is the number of different
+    costs; costs of one amount are counted before they meet.
+    """
     kept = successes(newest_groups(events, "event_date", days))
-    out = kept.agg(F.median("cost_usd").alias("median_usd"), F.count("*").alias("records"), F.count_distinct("event_date").alias("days"))
+    counted = kept.groupBy("cost_usd", "event_date").agg(F.count("*").alias("n"))
+    out = counted.agg(F.percentile("cost_usd", 0.5, F.col("n")).alias("median_usd"), F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.count_distinct("event_date").alias("days"))
     return out.withColumn("passed", F.col("median_usd").isNull() | (F.col("median_usd") <= ceiling))
 
 
@@ -70,6 +75,12 @@ def overall_rows(audits: DataFrame, key: list[str]) -> DataFrame:
     return audits.groupBy(*key).agg(verdict.alias("overall"), F.count("*").alias("fields"))
 
 
+def override_overall(claimed: DataFrame, audits: str = "audits", column: str = "overall") -> DataFrame:
+    """claimed with its overall verdict replaced by the one its audits give; `overridden` where they differ."""
+    own = overall(F.col(audits))
+    return claimed.withColumn("overridden", ~F.col(column).eqNullSafe(own)).withColumn(column, own)
+
+
 def verdict(first: Column, second: Column) -> Column:
     """Verifier's word on a field from a second extraction: abstains where it has nothing."""
     return F.when(F.coalesce(second, F.lit("")) == "", "abstain").when(F.coalesce(first, F.lit("")) == second, "agree").otherwise("disagree")

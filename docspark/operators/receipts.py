@@ -26,56 +26,73 @@ FIELDS = list(LABELS)
 CURRENCIES = ["NZD", "USD", "AUD", "GBP", "EUR"]
 
 
-def label_pattern(labels: list[str]) -> str:
-    """A label at a line start or after white space, an asterisk or an opening bracket; then a colon of either width and the rest of the line."""
-    names = "|".join(sorted(labels, key=len, reverse=True))
-    return rf"(?:^|[\s*(\[（])(?:{names})[\s*]*[:：]\s*([^\n]+)"
+#: One `label: value` pair: a run of Chinese characters at a line start or after white space, an asterisk or an opening bracket, a colon of either width, and the next text in sight up to its line's end, which is only looked at so that one line can hold several pairs.
+PAIR = r"(?Udm)(?:^|[\s*(\[（])([一-鿿]+)[\s*]*[:：](?=\s*([^\n]+))"
 
 
-def cn_receipt(body: Column) -> dict[str, Column]:
-    """The eleven receipt fields of a labelled body; '' where a label is missing. The first label in the text wins."""
+def pairs(body: Column) -> Column:
+    """All label and value pairs of a labelled body, in order."""
+    return F.arrays_zip(F.regexp_extract_all(body, F.lit(PAIR), 1).alias("label"), F.regexp_extract_all(body, F.lit(PAIR), 2).alias("value"))
+
+
+def once(df: DataFrame, **made: Column) -> DataFrame:
+    """df with columns that are computed once a row: exploding one element keeps the optimizer from computing them anew for each use."""
+    for name, value in made.items():
+        df = df.select("*", F.explode(F.array(value)).alias(name))
+    return df
+
+
+def cn_receipt(found: Column) -> dict[str, Column]:
+    """The eleven receipt fields of pairs(); '' where a label is missing. The first of a field's labels in the text wins."""
+    def first(labels: list[str]) -> Column:
+        return F.get(F.filter(found, lambda p: p["label"].isin(labels)), F.lit(0))["value"]
+
     out = {}
     for name, (kind, labels) in LABELS.items():
-        value = F.regexp_extract(body, "(?Udm)" + label_pattern(labels), 1)
-        out[name] = strip((clean_name if kind == "name" else clean_account)(value))
+        value = first(labels)
+        out[name] = F.coalesce(strip((clean_name if kind == "name" else clean_account)(value)), F.lit(""))
     return out
 
 
-AMOUNT = rf"\bof\s+({'|'.join(CURRENCIES)})\s+([\d,]+(?:\.\d{{2}})?)\b"
-ACCOUNT = r"\b(from|to)\s+account\s+(.+?)\s*\(account\s+number\s+([\d-]+)\)"
-DAY = r"\bon\s+(?:[A-Za-z]+,\s+)?(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})\b"
+#: The phrases of a narrative body: `of` a code and a number, an account with its number, and `on` a day.
+AMOUNT = r"(?iU)\bof\s+[a-z]{3}\s+[\d,]+(?:\.\d\d)?\b"
+ACCOUNT = r"(?iUd)\b(?:from|to)\s+account\s+.+?\(account\s+number\s+[\d-]+\)"
+DAY = r"(?U)\bon\s+(?:[A-Za-z]+,\s+)?\d{1,2}\s+[A-Za-z]+\s+\d{4}\b"
 
 
 def nz_pieces(body: Column) -> Column:
-    """The parts of a narrative body that its fields are read from: amount, all accounts, day."""
-    return F.struct(
-        F.regexp_extract(body, "(?iUd)" + AMOUNT, 0).alias("amount"), F.regexp_extract_all(body, F.lit("(?iUd)" + ACCOUNT), 0).alias("accounts"), F.regexp_extract(body, "(?Ud)" + DAY, 0).alias("day")
-    )
+    """The phrases of a narrative body: words of the first amount in a known currency, the last account of each direction as (name, number), words of the day."""
+    words = lambda c: F.split(c, r"(?U)\s+")
+    amounts = F.filter(F.transform(F.regexp_extract_all(body, F.lit(AMOUNT), 0), words), lambda w: F.upper(w[1]).isin(CURRENCIES))
+    accounts = F.regexp_extract_all(body, F.lit(ACCOUNT), 0)
+
+    def account(way: str) -> Column:
+        phrase = F.try_element_at(F.filter(accounts, lambda x: F.lower(x).startswith(way)), F.lit(-1))
+        halves = F.split(phrase, r"(?iU)\s*\(account\s+number\s+(?=[\d-]+\)$)")
+        return F.struct(F.regexp_replace(halves[0], r"(?iU)^\w+\s+account\s+", "").alias("name"), F.rtrim(halves[1], F.lit(")")).alias("number"))
+
+    return F.struct(F.get(amounts, F.lit(0)).alias("amount"), account("from").alias("sender"), account("to").alias("receiver"), words(F.nullif(F.regexp_extract(body, DAY, 0), F.lit(""))).alias("day"))
 
 
 def with_pieces(df: DataFrame, body: str) -> DataFrame:
-    """df with `_nz`. Exploding one element keeps the optimizer from matching the body anew for each field."""
-    return df.select("*", F.explode(F.array(nz_pieces(F.col(body)))).alias("_nz"))
+    """df with `_nz`, the narrative phrases."""
+    return once(df, _nz=nz_pieces(F.col(body)))
 
 
 def nz_receipt(pieces: Column) -> dict[str, Column]:
     """Seven receipt fields from nz_pieces, and `error`: '' or why the body is no such sentence."""
-    amount = lambda i: F.regexp_extract(pieces["amount"], "(?iUd)" + AMOUNT, i)
-    last = lambda way: F.try_element_at(F.filter(pieces["accounts"], lambda x: F.lower(x).startswith(way)), F.lit(-1))
-    part = lambda way, i: F.regexp_extract(last(way), "(?iUd)" + ACCOUNT, i)
-    day = lambda i: F.regexp_extract(pieces["day"], "(?Ud)" + DAY, i)
-    time = long_day(day(1), day(2), day(3))
-    found = F.coalesce(pieces["amount"], F.lit("")) != ""
-    error = F.when(~found, "amount").when(last("from").isNull() | last("to").isNull(), "accounts").when(pieces["day"] == "", "date").when(time.isNull(), "calendar").otherwise("")
+    day = lambda i: F.try_element_at(pieces["day"], F.lit(i))
+    time = long_day(day(-3), day(-2), day(-1))
+    error = F.when(pieces["amount"].isNull(), "amount").when(pieces["sender"]["number"].isNull() | pieces["receiver"]["number"].isNull(), "accounts").when(pieces["day"].isNull(), "date").when(time.isNull(), "calendar").otherwise("")
     return {
-        "receipt_amount": normalise_amount(amount(2)), "receipt_currency": F.upper(amount(1)), "receipt_time": time,
-        "receipt_debit_account_name": strip_quotes(part("from", 2)), "receipt_debit_account_number": part("from", 3),
-        "receipt_credit_account_name": strip_quotes(part("to", 2)), "receipt_credit_account_number": part("to", 3), "error": error,
+        "receipt_amount": normalise_amount(pieces["amount"][2]), "receipt_currency": F.upper(pieces["amount"][1]), "receipt_time": time,
+        "receipt_debit_account_name": strip_quotes(pieces["sender"]["name"]), "receipt_debit_account_number": pieces["sender"]["number"],
+        "receipt_credit_account_name": strip_quotes(pieces["receiver"]["name"]), "receipt_credit_account_number": pieces["receiver"]["number"], "error": error,
     }
 
 
 def parse_cn(df: DataFrame, body: str = "body") -> DataFrame:
-    return df.select("*", *[c.alias(n) for n, c in cn_receipt(F.col(body)).items()])
+    return once(df, _pairs=pairs(F.col(body))).select(*df.columns, *[c.alias(n) for n, c in cn_receipt(F.col("_pairs")).items()])
 
 
 def parse_nz(df: DataFrame, body: str = "body") -> DataFrame:
@@ -91,8 +108,8 @@ def any_filled(fields: list[Column]) -> Column:
 
 def parse_either(df: DataFrame, body: str = "body") -> DataFrame:
     """df with the receipt fields and layout: cn if any label is found, else nz, else none (an error row with empty fields)."""
-    cn, nz = cn_receipt(F.col(body)), nz_receipt(F.col("_nz"))
-    both = with_pieces(df, body).select(*df.columns, *[c.alias("_cn_" + n) for n, c in cn.items()], *[c.alias("_nz_" + n) for n, c in nz.items()])
+    cn, nz = cn_receipt(F.col("_pairs")), nz_receipt(F.col("_nz"))
+    both = once(with_pieces(df, body), _pairs=pairs(F.col(body))).select(*df.columns, *[c.alias("_cn_" + n) for n, c in cn.items()], *[c.alias("_nz_" + n) for n, c in nz.items()])
     layout = F.when(any_filled([F.col("_cn_" + n) for n in FIELDS]), "cn").when(F.col("_nz_error") == "", "nz").otherwise("none")
     laid = both.withColumn("layout", layout)
     pick = lambda n: F.when(F.col("layout") == "cn", F.col("_cn_" + n)).when(F.col("layout") == "nz", F.col("_nz_" + n) if n in nz else F.lit("")).otherwise("")

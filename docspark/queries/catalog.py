@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import codes, dates, match, pii
 from ..functions import text as tx
-from ..operators import classify, evaluate, extract, gates, keyed, legacy, receipts, records
+from ..operators import evaluate, extract, gates, keyed, legacy, receipts, records
 from ..sources import files
 from . import duck, inputs
 from .inputs import case, text
@@ -45,7 +45,7 @@ query(
 query("cn_receipt_parse", inputs.CN, lambda d: receipts.parse_cn(d).drop("body"), "SELECT k, " + ", ".join(f"{duck.cn_field(n)} AS {n}" for n in receipts.FIELDS) + " FROM @src")
 query(
     "cn_label_first_match", inputs.CN,
-    lambda d: d.select("k", receipts.cn_receipt(F.col("body"))["receipt_reference"].alias("reference"), receipts.cn_receipt(F.col("body"))["receipt_time"].alias("time")),
+    lambda d: receipts.parse_cn(d).select("k", F.col("receipt_reference").alias("reference"), F.col("receipt_time").alias("time")),
     f"SELECT k, {duck.cn_field('receipt_reference')} AS reference, {duck.cn_field('receipt_time')} AS time FROM @src",
 )
 _CN_ANY = " OR ".join(f"{duck.cn_field(n)} <> ''" for n in receipts.FIELDS)
@@ -189,11 +189,6 @@ query(
     lambda d: d.select("k", codes.id_shape(F.col("id")).alias("id_shape"), codes.tin_shape(F.col("id")).alias("tin_shape"), codes.entries(F.col("e")).alias("entries"), codes.outcome(F.col("o")).alias("outcome"), codes.relationship(F.col("r")).alias("relationship"), codes.licence_class(F.col("lc"), F.col("j")).alias("licence_class"), codes.boxes(F.col("k") % 2 == 0, F.col("k") % 3 == 0).alias("boxes")),
     r"SELECT k, CASE WHEN regexp_full_match(id, '\d{17}[\dX]') THEN 'CN' WHEN regexp_full_match(id, '[A-Z]{1,2}\d{6}\([0-9A]\)') THEN 'HK' WHEN regexp_full_match(id, '[STFGM]\d{7}[A-Z]') THEN 'SG' WHEN regexp_full_match(id, '[A-Z][12]\d{8}') THEN 'TW' ELSE '' END AS id_shape, CASE WHEN regexp_full_match(id, '\d{3}-\d{2}-\d{4}') THEN 'US' WHEN regexp_full_match(id, '\d{2,3}-\d{3}-\d{3}') THEN 'NZ' WHEN regexp_full_match(id, '\d{17}[\dX]') THEN 'CN' WHEN regexp_full_match(id, '\d{10}') THEN 'GB' ELSE '' END AS tin_shape, CASE WHEN upper(e) IN ('00M', 'MULT') THEN 'multiple' ELSE e END AS entries, CASE o WHEN 'Verified' THEN 'verified' WHEN 'Partial match' THEN 'partial' WHEN 'FAILED' THEN 'failed' ELSE '' END AS outcome, CASE r WHEN 'Self' THEN 'self' WHEN 'spouse' THEN 'family' WHEN 'business partner' THEN 'close_associate' ELSE '' END AS relationship, CASE WHEN j = 'NZ' AND NOT starts_with(lc, 'Class') THEN 'Class ' || lc ELSE lc END AS licence_class, CASE WHEN k % 2 = 0 AND k % 3 <> 0 THEN 'yes' WHEN k % 3 = 0 AND k % 2 <> 0 THEN 'no' ELSE 'unknown' END AS boxes FROM @src",
 )
-query(
-    "receipt_time_norm", f"SELECT o_orderkey AS k, {case('o_orderkey', [chr(39) + '2025-07-01 10:00:00' + chr(39), chr(39) + '2025-07-01 10:05' + chr(39), chr(39) + ' 2025-07-01' + chr(39), chr(39) + 'soon' + chr(39)])} AS s, '2020.01.02-2030.01.02' AS r FROM {{orders}}",
-    lambda d: d.select("k", dates.receipt_time(F.col("s")).alias("t"), dates.validity_range(F.col("r"))[0].alias("valid_from"), dates.validity_range(F.col("r"))[1].alias("valid_to")),
-    "SELECT k, CASE k % 4 WHEN 0 THEN '2025-07-01T10:00:00Z' WHEN 1 THEN '2025-07-01T10:05:00Z' WHEN 2 THEN '2025-07-01T00:00:00Z' END AS t, '2020-01-02' AS valid_from, '2030-01-02' AS valid_to FROM @src",
-)
 
 # Matchers
 _PAIR = f"SELECT doc_id, text AS a, {case('doc_id', ['text', 'lower(text)', 'concat(text, ' + chr(39) + ' ' + chr(39) + ')'])} AS b, {case('doc_id', [chr(39) + 'CN' + chr(39), chr(39) + 'NZ' + chr(39)])} AS j FROM {{documents}}"
@@ -251,7 +246,7 @@ query2("scorecard_field", _BOTH, lambda want, got: evaluate.by_field(_compared(w
 query2("scorecard_jurisdiction", _BOTH, lambda want, got: evaluate.by_jurisdiction(_compared(want, got)), f"SELECT jurisdiction, agent, {_METRICS} FROM {_RESULTS} GROUP BY jurisdiction, agent")
 query2("scorecard_grouping_sets", _BOTH, lambda want, got: evaluate.in_one_pass(_compared(want, got)), f"SELECT agent, field, jurisdiction, {_HIT} AS n_matched, count(*) FILTER (WHERE actual <> '') AS n_actual, count(*) FILTER (WHERE expected <> '') AS n_expected, count(*) AS examples, CASE GROUPING(agent, field, jurisdiction) WHEN 3 THEN 'agent' WHEN 1 THEN 'field' WHEN 2 THEN 'jurisdiction' ELSE 'total' END AS level FROM {_RESULTS} GROUP BY GROUPING SETS ((agent), (agent, field), (agent, jurisdiction), ())")
 query2("scorecard_totals", _BOTH, lambda want, got: evaluate.totals(_compared(want, got)).select("examples", F.round("total_cost_usd", 6).alias("total_cost_usd"), F.round("distinct_doc_cost_usd", 6).alias("distinct_doc_cost_usd"), gates.run_breach(F.col("total_cost_usd")).alias("cost_breach")), f"SELECT count(*) AS examples, round(sum(cost_usd), 6) AS total_cost_usd, round(count(DISTINCT doc_key) * 0.0125, 6)::DOUBLE AS distinct_doc_cost_usd, sum(cost_usd) > 15 AS cost_breach FROM {_RESULTS}")
-_FLOORS = " UNION ALL ".join(f"SELECT '{a}' AS agent, '{f}' AS field, {v}::DOUBLE AS floor" for a, fs in gates.FLOORS.items() for f, v in fs.items())
+_FLOORS = "SELECT 'Passport' AS agent, unnest(['name_latin', 'doc_number', 'expiry_date']) AS field, 0.98::DOUBLE AS floor UNION ALL SELECT 'PaymentReceipt', unnest(['receipt_debit_account_number', 'receipt_credit_account_number', 'receipt_amount', 'receipt_time']), 0.95 UNION ALL SELECT 'DriverLicence', unnest(['name_latin', 'doc_number']), 0.95 UNION ALL SELECT 'NationalID', unnest(['id_card_number', 'name_latin']), 0.95 UNION ALL SELECT 'Visa', unnest(['visa_class', 'valid_to']), 0.95"
 _RATES = f"(SELECT agent, field, {_HIT} / count(*) AS match_rate, count(*) AS examples FROM {_RESULTS} GROUP BY ALL)"
 query2("threshold_lookup", _BOTH, lambda want, got: gates.with_floor(evaluate.by_field(_compared(want, got)), gates.floor_table(want.sparkSession)), f"SELECT r.*, coalesce(f.floor, 0.9)::DOUBLE AS floor FROM {_RATES} r LEFT JOIN ({_FLOORS}) f USING (agent, field)")
 query2("threshold_breaches", _BOTH, lambda want, got: gates.breaches(evaluate.by_field(_compared(want, got)), gates.floor_table(want.sparkSession)), f"SELECT * FROM (SELECT r.*, coalesce(f.floor, 0.9)::DOUBLE AS floor FROM {_RATES} r LEFT JOIN ({_FLOORS}) f USING (agent, field)) WHERE match_rate + 1e-9 < floor")
@@ -273,11 +268,6 @@ query("verdict_rollup", _AUDIT, lambda d: d.groupBy("doc_id").agg(F.map_from_ent
 query("verdict_fail_only", _AUDIT, lambda d: gates.disagreements(gates.overall_rows(d, ["doc_id"])).select("doc_id", keyed.disagreement_key(F.col("doc_id").cast("string")).alias("path"), "fields"), f"SELECT doc_id, 'disagreements/' || doc_id || '.json' AS path, count(*) AS fields FROM @src GROUP BY doc_id HAVING {_ROLL} = 'fail'")
 query2("verifier_compare", _BOTH, lambda want, got: evaluate.long_form(want, _KEYS, "a").join(evaluate.long_form(got, _KEYS, "b"), [*_KEYS, "field"]).select("doc_key", "field", gates.verdict(F.col("a"), F.col("b")).alias("verdict")), f"SELECT doc_key, field, CASE WHEN a.v = '' THEN 'abstain' WHEN e.v = a.v THEN 'agree' ELSE 'disagree' END AS verdict FROM ({_LONG('want')}) e JOIN ({_LONG('got')}) a USING (doc_key, agent, jurisdiction, field)")
 
-# Downstream rules
-query("ubo_threshold", f"SELECT c_custkey AS k, c_name AS owner, concat({text('c_custkey % 60')}, {case('c_custkey', [chr(39) + '%' + chr(39), chr(39) + '.5 %' + chr(39), chr(39) + ' percent' + chr(39)])}) AS pct FROM {{customer}}", lambda d: d.withColumn("n", F.expr("try_cast(regexp_extract(pct, '([0-9.]+)', 1) AS double)")).where("n >= 25").select("k", "owner", "n"), "SELECT k, owner, CAST(regexp_extract(pct, '([0-9.]+)', 1) AS DOUBLE) AS n FROM @src WHERE CAST(regexp_extract(pct, '([0-9.]+)', 1) AS DOUBLE) >= 25")
-query("poa_freshness", "SELECT o_orderkey AS k, CAST(CAST(o_orderdate AS DATE) AS STRING) AS document_date FROM {orders}", lambda d: d.select("k", (dates.checked(F.col("document_date")) >= F.add_months(F.lit("1998-08-02").cast("date"), -3)).alias("fresh")), "SELECT k, CAST(document_date AS DATE) >= DATE '1998-05-02' AS fresh FROM @src")
-query("issuer_priority", f"SELECT o_custkey AS k, {case('o_orderkey', [chr(39) + v + chr(39) for v in ('bank', 'utility', 'other', 'government', 'bank', 'other', 'other')])} AS issuer FROM {{orders}}", lambda d: d.groupBy("k").agg(F.min_by("issuer", F.array_position(F.array(*[F.lit(x) for x in ("government", "utility", "bank", "other")]), F.col("issuer"))).alias("issuer")), "SELECT k, arg_min(issuer, list_position(['government', 'utility', 'bank', 'other'], issuer)) AS issuer FROM @src GROUP BY k")
-query("earliest_page", "SELECT conv_id AS k, turn AS page_no, role AS header FROM {conversations}", lambda d: d.where("header <> 'system'").groupBy("k").agg(F.min_by("header", "page_no").alias("header")), "SELECT k, arg_min(header, page_no) AS header FROM @src WHERE header <> 'system' GROUP BY k")
 
 # Boundary
 _GOLDEN = f"SELECT concat('golden/', {case('page_id', [chr(39) + 'passport' + chr(39), chr(39) + 'visa' + chr(39)])}, '/p', {text('page_id')}, {case('page_id', [chr(39) + x + chr(39) for x in ('.png', '.pdf', '.jpeg')])}) AS path FROM {{pages}} UNION ALL SELECT concat('golden/', {case('page_id', [chr(39) + 'passport' + chr(39), chr(39) + 'visa' + chr(39)])}, '/p', {text('page_id')}, {case('page_id', [chr(39) + x + chr(39) for x in ('.png.expected.md', '.expected.md', '.txt', '.expected.md')])}) AS path FROM {{pages}}"
@@ -285,16 +275,6 @@ query("golden_pairs", _GOLDEN, lambda d: files.golden_pairs(d), "SELECT i.t AS d
 _EXTRACT = f"SELECT {text('doc_id')} AS key, 'Other' AS doc_type, concat('Description: ', source, chr(10), 'Notes: ', lang) AS text FROM {{documents}}"
 query("batch_extract_rows", _EXTRACT, lambda d: extract.extract(d, extract.rule_extractor).select("key", "status", F.try_element_at("fields", F.lit("description")).alias("description"), F.try_element_at("fields", F.lit("notes")).alias("notes"), F.size("attempts").alias("attempts")), "SELECT key, 'passed' AS status, split_part(text, chr(10), 1)[14:] AS description, split_part(text, chr(10), 2)[8:] AS notes, 1 AS attempts FROM @src")
 query("page_split", f"SELECT {text('page_id')} AS key, concat(url, chr(12), 'second', chr(12), 'third') AS content, {case('page_id', [chr(39) + 'page1' + chr(39), chr(39) + 'all_pages' + chr(39)])} AS mode FROM {{pages}}", lambda d: extract.pages(d.withColumn("content", F.encode("content", "utf-8"))).select("key", "page_no", F.decode("png", "utf-8").alias("page")), "SELECT key, CAST(i - 1 AS INTEGER) AS page_no, string_split(content, chr(12))[i] AS page FROM @src, unnest(CASE WHEN mode = 'page1' THEN [1] ELSE [1, 2, 3] END) AS u(i)")
-query("last_message", "SELECT conv_id, turn, role, text FROM {conversations}", lambda d: d.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m")).select("conv_id", F.md5(extract.last_message(F.col("m"))).alias("said")), "SELECT conv_id, md5(coalesce(arg_max(text, turn) FILTER (WHERE role = 'assistant' AND text <> ''), '')) AS said FROM @src GROUP BY conv_id")
-_CUE_TEXTS = ["P<NZLDOE<<ANN passport", "Utility bill, statement period, closing balance, service address", "Statement period 1-2 closing balance", "付款人 收款人 金额 CNY", "Companies House registration number, directors", "passport", "Are you a PEP? declarant", "applicant, application date", "beneficial owner UBO directors company number"]
-query(
-    "classifier_cues", f"SELECT p_partkey AS k, concat({case('p_partkey', [chr(39) + x + chr(39) for x in _CUE_TEXTS])}, ' ', p_name) AS text FROM {{part}}",
-    lambda d: classify.classify(d).drop("text"),
-    "SELECT k, CASE k % 9 WHEN 0 THEN 'Passport' WHEN 1 THEN 'BankStatement' WHEN 2 THEN 'BankStatement' WHEN 3 THEN 'PaymentReceipt' WHEN 4 THEN 'CompanyExtract' WHEN 6 THEN 'PEP_Declaration' WHEN 7 THEN 'ApplicationForm' ELSE 'Other' END AS doc_type, CASE k % 9 WHEN 0 THEN 'NZ' WHEN 3 THEN 'CN' WHEN 4 THEN 'GB' ELSE 'OTHER' END AS jurisdiction, '' AS doc_subtype FROM @src",
-)
-query(
-    "label_priority", f"SELECT o_orderkey AS k, {case('o_orderkey', ['concat(' + chr(39) + '付款人: A' + chr(39) + ', chr(10), ' + chr(39) + 'Payer: B' + chr(39) + ')', chr(39) + 'Payer: B' + chr(39), chr(39) + '收款人: C' + chr(39)])} AS body, o_orderpriority AS signer, {case('o_orderkey', [chr(39) + 'Manager' + chr(39), 'CAST(NULL AS STRING)'])} AS title FROM {{orders}}",
-    lambda d: d.select("k", F.coalesce(F.nullif(receipts.cn_receipt(F.col("body"))["receipt_debit_account_name"], F.lit("")), F.regexp_extract("body", "(?m)^Payer: (.*)$", 1)).alias("debit"), receipts.cn_receipt(F.col("body"))["receipt_credit_account_name"].alias("credit"), F.concat_ws(", ", "signer", "title").alias("authority")),
-    "SELECT k, CASE k % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE '' END AS debit, CASE k % 3 WHEN 2 THEN 'C' ELSE '' END AS credit, concat_ws(', ', signer, title) AS authority FROM @src",
-)
 query("registry_extract", f"SELECT {text('c_custkey')} AS key, {case('c_custkey', [chr(39) + t + chr(39) for t in ('Passport', 'BankStatement', 'Unheard')])} AS doc_type, concat('- Full Name: ', c_name, chr(10), 'Account Number: 12-3', chr(10), '**Passport Number: E', {text('c_custkey')}) AS text FROM {{customer}}", lambda d: extract.extract(d, extract.by_registry).select("key", "status", F.coalesce(F.try_element_at("fields", F.lit("passport_number")), F.lit("")).alias("passport_number"), F.coalesce(F.try_element_at("fields", F.lit("account_number")), F.lit("")).alias("account_number")), "SELECT key, CASE WHEN doc_type = 'Unheard' THEN 'failed' ELSE 'passed' END AS status, CASE WHEN doc_type = 'Passport' THEN 'E' || key ELSE '' END AS passport_number, CASE WHEN doc_type = 'BankStatement' THEN '12-3' ELSE '' END AS account_number FROM @src")
+
+from . import rules  # noqa: E402, F401  registers its queries

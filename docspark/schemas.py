@@ -31,6 +31,7 @@ DOC_TYPES = list(OWN)
 VERIFIED = ["Passport", "DriverLicence", "NationalID", "Visa", "PaymentReceipt"]
 PROVENANCE = ["extractor_version", "extraction_provider", "extraction_model", "extraction_timestamp", "prompt_version"]
 STATUSES = ["passed", "failed", "rate_limited", "provider_unavailable"]
+VERDICTS, OVERALL = ["agree", "disagree", "abstain"], ["pass", "fail", "uncertain"]
 OWNER = T.StructType([T.StructField(n, T.StringType()) for n in ("name", "dob", "ownership_percentage")])
 
 
@@ -41,8 +42,9 @@ def slug(doc_type: str) -> str:
 
 
 def schema(doc_type: str) -> T.StructType:
+    """The columns of a type; those all types share for a type that is not known."""
     fields = []
-    for name in f"{BASE} {OWN[doc_type]}".split():
+    for name in f"{BASE} {OWN.get(doc_type, '')}".split():
         kind = T.ArrayType(T.StringType(), False) if name.endswith("[]") else T.ArrayType(OWNER) if name.endswith("{}") else T.StringType()
         fields.append(T.StructField(name.rstrip("[]{}"), kind, not isinstance(kind, T.StringType)))
     return T.StructType(fields)
@@ -67,6 +69,17 @@ def unknown_fields(parsed: Column, doc_type: str) -> Column:
     return F.array_except(F.map_keys(parsed), F.array(*[F.lit(f.name) for f in schema(doc_type)]))
 
 
+def metadata(spark) -> DataFrame:
+    """doc_type, agent, n_columns, verified, input_text: the dimension that a type's documents are dispatched by. The first column follows DOC_TYPES."""
+    rows = [(t, slug(t), len(schema(t)), t in VERIFIED, "Extract the fields of this " + slug(t).replace("_", " ") + ".") for t in DOC_TYPES]
+    return spark.createDataFrame(rows, "doc_type string, agent string, n_columns int, verified boolean, input_text string")
+
+
+def not_in(c: Column, allowed: list[str], name: str) -> Column:
+    """'' for one of the allowed values, else an error text that names the field and the value."""
+    return F.when(c.isin(allowed), "").otherwise(F.concat(F.lit(f"{name}: "), F.coalesce(c, F.lit("null"))))
+
+
 def coverage(registered: DataFrame, column: str = "doc_type") -> DataFrame:
     """doc_type, side for every type that only one of the registry and the closed list has."""
     known = registered.sparkSession.createDataFrame([(t,) for t in DOC_TYPES], "doc_type string")

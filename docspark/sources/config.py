@@ -61,14 +61,30 @@ def resolve(agent: str, cli: Mapping[str, str] | None = None, path: str | Path =
     return {**out, "fallback": ",".join(fell)}
 
 
+def prompt_parts(text: str) -> tuple[str, str]:
+    """Head and body between lines that strip to `---`; the body loses its leading line feeds."""
+    lines = text.split("\n")
+    ends = [i for i, line in enumerate(lines) if line.strip() == "---"]
+    if not ends or ends[0] != 0 or len(ends) < 2:
+        raise ValueError("a prompt needs frontmatter between two lines of ---")
+    return "\n".join(lines[1 : ends[1]]), "\n".join(lines[ends[1] + 1 :]).lstrip("\n")
+
+
+def undocumented(providers: list[str], headings: list[str]) -> list[str]:
+    """Providers that no heading names; letter case, spaces and signs do not count."""
+    bare = lambda x: "".join(c for c in x.lower() if c.isalnum())
+    known = [bare(h) for h in headings]
+    return sorted(p for p in providers if not any(bare(p) in h for h in known))
+
+
 def prompt_baseline(prompts: Mapping[str, str]) -> str:
     """JSON of name -> version and body hash, keys sorted. prompts: name -> text with frontmatter."""
     import yaml
 
     out = {}
     for name, text in prompts.items():
-        _, head, body = text.split("---", 2)
-        out[name] = {"version": str(yaml.safe_load(head).get("version", "")), "body_sha256": hashlib.sha256(body.lstrip("\n").encode()).hexdigest()}
+        head, body = prompt_parts(text)
+        out[name] = {"version": str(yaml.safe_load(head).get("version", "")), "body_sha256": hashlib.sha256(body.encode()).hexdigest()}
     return json.dumps(out, indent=2, sort_keys=True) + "\n"
 
 

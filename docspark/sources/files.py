@@ -44,12 +44,15 @@ def keys_of(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def write_records(df: DataFrame, path: str) -> None:
-    """key, md as Parquet; a later write of a key is found by keyed.upsert."""
+    """key, md, written_at as Parquet. A key's later write replaces the earlier one for read_records()."""
     df.select("key", "md", "written_at").write.mode("append").parquet(path)
 
 
-def write_disagreements(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The newest record of each key; of writes of one time the last text in order."""
+    from ..operators.keyed import upsert
+
+    return upsert(spark.read.schema("key string, md string, written_at timestamp").parquet(path), ["key"], [F.col("written_at"), F.col("md")])
 
 
 def append_telemetry(df: DataFrame, path: str) -> None:
@@ -60,7 +63,11 @@ def append_telemetry(df: DataFrame, path: str) -> None:
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     """Well-formed lines; blank and malformed ones are left out."""
-    lines = spark.read.text(path)
+    return telemetry_of(spark.read.text(path))
+
+
+def telemetry_of(lines: DataFrame) -> DataFrame:
+    """The well-formed records of lines (value), with the lines' other columns."""
     day = [c for c in lines.columns if c != "value"]
     parsed = lines.select(*day, F.from_json("value", TELEMETRY + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"), "value")
     return parsed.where("trim(value) <> '' AND r._bad IS NULL").select("r.*", *day).drop("_bad")
@@ -82,6 +89,12 @@ def golden_pairs(files: DataFrame, path: str = "path") -> DataFrame:
     return images.join(by_name, ["doc_type", "name"], "left").join(by_stem, ["doc_type", "stem"], "left").select("doc_type", "stem", "image", F.coalesce("e1", "e2").alias("expected"))
 
 
+def canonical_pairs(files: DataFrame, path: str = "path") -> DataFrame:
+    """id, image, expected of the images that have an `<id>.expected.md` beside them; the others are left out."""
+    pairs = golden_pairs(files, path)
+    return pairs.where(F.regexp_replace("expected", r"\.expected\.md$", "") == F.regexp_replace("image", r"\.[^.]+$", "")).select(F.col("stem").alias("id"), "image", "expected")
+
+
 def newest(rows: DataFrame, name: str) -> DataFrame:
     """The row with the greatest name."""
     rest = [c for c in rows.columns]

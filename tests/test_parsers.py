@@ -46,7 +46,8 @@ def test_cn_pattern_like_python(spark, body):
     got = cn(spark, body)
     for name in ("receipt_debit_account_name", "receipt_amount"):
         kind, labels = receipts.LABELS[name]
-        m = re.search("(?m)" + receipts.label_pattern(labels), body)
+        names = "|".join(sorted(labels, key=len, reverse=True))  # each field on its own, by a search for its labels
+        m = re.search(rf"(?m)(?:^|[\s*(\[（])(?:{names})[\s*]*[:：]\s*([^\n]+)", body)
         value = m.group(1) if m else ""
         if kind == "name":
             value = re.sub(r"[\*\s\]\)）]+\Z", "", re.sub(r"^[\*\s\[\(（]+", "", value))
