@@ -59,6 +59,53 @@ def test_extract_repair_cost(spark, tmp_path, capsys):
     assert [r["slug"] for r in cli.drafts(spark, str(source)).collect()] == []
 
 
+def test_verify_canonical(spark, tmp_path, capsys):
+    fixtures, actual = tmp_path / "fixtures", tmp_path / "actual"
+    assert cli.main(["verify-canonical", "--fixtures", str(tmp_path), "--mocked"]) == 0
+    for i in range(2):
+        record(fixtures / f"r{i}.expected.md", receipt_debit_account_name="A", receipt_credit_account_number=None)
+        (fixtures / f"r{i}.png").write_bytes(b"x")
+        record(actual / f"r{i}.md", receipt_debit_account_name="A" if i else "B")
+    (fixtures / "lone.png").write_bytes(b"x")
+    args = ["verify-canonical", "--fixtures", str(fixtures)]
+    assert cli.main(args) == 0 and cli.main([*args, "--mocked"]) == 0
+    assert cli.main([*args, "--actual", str(actual)]) == 1
+    assert "r0.receipt_debit_account_name: expected 'A', extracted 'B'" in capsys.readouterr().out
+    (fixtures / "r1.expected.md").write_text("no fences")
+    assert cli.main([*args, "--mocked"]) == 1 and "r1: no frontmatter" in capsys.readouterr().out
+
+
+def test_drafts(spark, tmp_path):
+    legacy = tmp_path / "legacy"
+    legacy.mkdir()
+    (legacy / "a.md").write_text("**Model:** `m`\nDOCUMENT_TYPE: Passport\nFIELDS:\n- Full Name: Ann 王\n- Passport Number: E1\nQUALITY: ok\n")
+    assert cli.main(["drafts", "--legacy", str(legacy), "--out", str(tmp_path / "out"), "--doc-type", "Passport"]) == 0
+    text = (tmp_path / "out" / "passport" / "a.expected.md").read_text()
+    assert "passport_number: E1" in text and "王" in text
+
+
+def test_failed_keys_are_recorded(spark, tmp_path, monkeypatch):
+    source = tmp_path / "source"
+    source.mkdir()
+    (source / "a.txt").write_text("Passport\nP<NZLDOE\nPassport Number: E1")
+
+    def refuse(row, tier):
+        raise extract.RateLimited
+
+    monkeypatch.setattr(extract, "by_registry", refuse)
+    monkeypatch.setattr(extract.time, "sleep", lambda s: None)
+    lines = cli.main(["extract", "--key", "a.txt", "--source", str(source), "--out", str(tmp_path / "out"), "--disagreements", str(tmp_path / "store"), "--show-image"])
+    assert lines == 0
+    assert json.loads((tmp_path / "store" / "disagreements" / "a.txt.json").read_text())["status"] in ("rate_limited", "provider_unavailable")
+
+
+def test_provider_documented():
+    assert config.undocumented(["Open AI", "anthropic", "other"], ["OpenAI terms", "Anthropic — terms of use"]) == ["other"]
+    with pytest.raises(ValueError):
+        config.prompt_parts("no head")
+    assert config.prompt_parts("---\nversion: a --- b\n ---\n\nbody\n---\n") == ("version: a --- b", "body\n---\n")
+
+
 def test_config(tmp_path):
     path = tmp_path / "agents.yaml"
     path.write_text("visa: {model: m-yaml}\nbad: 3\n")

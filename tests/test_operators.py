@@ -2,13 +2,14 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from docspark.operators import evaluate, extract, gates, keyed
 from docspark.plans import lifecycles
-from docspark.sources import files
+from docspark.sources import files, store
 from docspark.streaming import ingest
 
 ROWS = [
@@ -151,6 +152,71 @@ def test_streams(spark, tmp_path):
     assert order == [("disagreements", 1), ("records", 3)]
 
 
+def test_store_overwrites_by_key(spark, tmp_path):
+    root = str(tmp_path / "store")
+    first = spark.createDataFrame([("a/x", "旧"), ("b", "B")], "key string, md string")
+    assert store.put_analyses(first, root) == []
+    for _ in range(2):  # a repeated write changes nothing
+        assert store.put_analyses(spark.createDataFrame([("a/x", "新文\n")], "key string, md string"), root) == []
+    assert (tmp_path / "store" / "a" / "x.md").read_bytes() == "新文\n".encode() and (tmp_path / "store" / "b.md").read_text() == "B"
+    rows = spark.createDataFrame([("k", None, "rate_limited"), ("l", "p", "fail")], "key string, primary string, status string")
+    assert store.put_disagreements(rows, root) == []
+    assert json.loads((tmp_path / "store" / "disagreements" / "k.json").read_text()) == {"key": "k", "primary": None, "status": "rate_limited"}
+    assert sorted(f.name for f in (tmp_path / "store").rglob("*") if f.is_file()) == ["b.md", "k.json", "l.json", "x.md"]
+    blocked = tmp_path / "file"
+    blocked.write_text("")
+    assert [r["key"] for r in store.put_analyses(first, str(blocked))] == ["a/x.md", "b.md"] or len(store.put_analyses(first, str(blocked))) == 2
+
+
+def test_flush_is_repeatable_and_never_raises(spark, tmp_path):
+    (tmp_path / "staged").mkdir()
+    (tmp_path / "staged" / "2026-01-01.jsonl").write_text('{"a": 1}\n')
+    for _ in range(2):
+        assert store.flush_telemetry(spark, str(tmp_path / "staged"), str(tmp_path / "out")) == []
+    assert [f.read_text() for f in (tmp_path / "out" / "telemetry").iterdir()] == ['{"a": 1}\n']
+    assert len(store.flush_telemetry(spark, str(tmp_path / "nowhere"), str(tmp_path / "out"))) == 1
+
+
+def test_records_of_a_key(spark, tmp_path):
+    path = str(tmp_path / "records")
+    at = lambda rows: spark.createDataFrame(rows, "key string, md string, t string").select("key", "md", F.to_timestamp("t").alias("written_at"))
+    files.write_records(at([("a", "1", "2026-01-01"), ("b", "1", "2026-01-01")]), path)
+    for _ in range(2):
+        files.write_records(at([("a", "2", "2026-01-02")]), path)
+    assert {(r["key"], r["md"]) for r in files.read_records(spark, path).collect()} == {("a", "2"), ("b", "1")} and files.read_records(spark, path).count() == 2
+
+
+def test_order_cost_and_provenance(spark):
+    rows = [(i, f"k{i}", "Visa", "Visa Class: B") for i in range(40)]
+    keys = spark.createDataFrame(rows, "ordinal long, key string, doc_type string, text string").repartition(5)
+    call = lambda row, tier: extract.Answer(extract.by_registry(row, tier), "svc", "", 0.5)
+    for concurrency in (1, 50):
+        got = extract.extract(keys, call, concurrency=concurrency).orderBy("ordinal").collect()
+        assert [r["key"] for r in got] == [r[1] for r in rows] and got[3]["attempts"][0]["cost_usd"] == 0.5
+    assert keys.rdd.getNumPartitions() == extract.extract(keys, call, concurrency=50).rdd.getNumPartitions()
+    config = spark.createDataFrame([("Visa", "file", "m-1", "visa@1")], "doc_type string, provider string, model string, prompt_version string")
+    fields = extract.with_provenance(extract.extract(keys, call), config, "9", "now").first()["fields"]
+    assert (fields["extraction_provider"], fields["extraction_model"], fields["prompt_version"], fields["extractor_version"], fields["visa_class"]) == ("svc", "m-1", "visa@1", "9", "B")
+
+
+def test_strict_pairs(spark):
+    keys = spark.createDataFrame([(0, "a"), (1, "b")], "ordinal int, key string")
+    good = spark.createDataFrame([(1, "b", 2), (0, "a", 1)], "ordinal int, key string, n int")
+    assert {(r["key"], r["result"]["n"]) for r in evaluate.paired(keys, good).collect()} == {("a", 1), ("b", 2)}
+    for bad in ([(0, "a", 1)], [(0, "a", 1), (1, "c", 1)], [(0, "a", 1), (1, "b", 1), (2, "c", 1)]):
+        with pytest.raises(Exception, match="do not correspond"):
+            evaluate.paired(keys, spark.createDataFrame(bad, "ordinal int, key string, n int")).collect()
+
+
+def test_whole_scorecard(spark):
+    card = json.loads(evaluate.pretty(evaluate.scorecard_json(results(spark), ceiling=0.001, timestamp="t").first()["scorecard"]))
+    assert card["total_examples"] == 8 and abs(card["total_cost_usd"] - 0.008) < 1e-12 and card["cost_breach"] is True
+    assert (card["extractor_version"], card["run_timestamp"]) == (evaluate.VERSION, "t") and list(card["per_agent"]) == ["Passport", "PaymentReceipt"]
+    empty = json.loads(evaluate.scorecard_json(results(spark).where("false")).first()["scorecard"])
+    assert empty["total_examples"] == 0 and empty["cost_breach"] is False and empty["per_agent"] == {}
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", evaluate.utc_now())
+
+
 def test_nothing_else_imports_llm():
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docspark")
     for folder, _, names in os.walk(root):
