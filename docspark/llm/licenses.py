@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .license_texts import WHOLE
 
 SHINGLE, BANDS, THRESHOLD = 5, 16, 0.8
-#: Notices of public licenses.
+#: Short notices of public licenses, and with them their whole texts.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
@@ -42,7 +43,7 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
+} | WHOLE
 
 
 def words(text: str | None) -> list[str]:
@@ -121,10 +122,10 @@ def op2_license_scan(spark, sf_dir: str) -> DataFrame:
 
 def op2_sql() -> str:
     """The same by exact containment over all windows, without signatures."""
-    rows = ", ".join(f"('{n}', {shingles(words(t))!r})" for n, t in sorted(TEMPLATES.items()))
+    rows = ", ".join(f"('{n}', {sorted(set(shingles(words(t))))!r}, {len(shingles(words(t)))})" for n, t in sorted(TEMPLATES.items()))
     return f"""
 WITH templates AS (
-  SELECT template, parts, len(parts) AS m, len(parts) + (len(parts) + 1) // 2 AS span, greatest(1, (len(parts) + 1) // 2) AS step FROM (VALUES {rows}) v(template, parts)
+  SELECT template, parts, m + (m + 1) // 2 AS span, greatest(1, (m + 1) // 2) AS step FROM (VALUES {rows}) v(template, parts, m)
 ), words AS (
   SELECT CAST(doc_id AS BIGINT) AS doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL
 ), runs AS (
