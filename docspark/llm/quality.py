@@ -41,7 +41,7 @@ ORDER = 4
 CONTEXT, UNMET = 8, 15  # CONTEXT added to its length marks the hash of a context, UNMET that of the sign a model has not met
 POINT, START = 21, 0x110000  # bits of a code point, and the sign before a text
 RUN = 64  # characters
-SHARD_ROWS, HELD_BYTES = 1_000_000, 96_000_000
+SHARD_ROWS, HELD_BYTES, GROUP = 1_000_000, 48_000_000, 1_000_000  # GROUP: characters taken at a time
 SYMBOLS = "#*$%&|<>"
 METRICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 REACH = 2.0
@@ -145,7 +145,7 @@ def _count(batches):
                 yield pa.record_batch([pa.array([model] * len(a[part])), pa.array(a[part]), pa.array(b[part]), pa.array(n[part])], names=["model", "a", "b", "n"])
         parts.clear()
 
-    for texts, langs, folds in text_groups(batches, ["text", "lang", "fold"]):
+    for texts, langs, folds in text_groups(batches, ["text", "lang", "fold"], limit=GROUP):
         by: dict[str, list[str]] = {}
         for text, lang, fold in zip(texts, langs, folds, strict=True):
             if text:
@@ -153,10 +153,10 @@ def _count(batches):
         for model, group in by.items():
             parts.setdefault(model, []).extend(point_grams(group))
         held += sum(len(t) for t in texts if t)
-        if held > 16_000_000:
+        if held > 4 * GROUP:
             parts = {m: [_merged(own)] for m, own in parts.items()}
             held = 0
-            if sum(len(own[0][0]) for own in parts.values()) > 4_000_000:
+            if sum(len(own[0][0]) for own in parts.values()) > 1_500_000:
                 yield from rows()
     yield from rows()
 
@@ -167,18 +167,21 @@ def _suffix(order: int) -> tuple[Column, Column]:
     return mask("a", max(order - 2, 0)), mask("b", min(order, 2))
 
 
-def estimate(grams: DataFrame) -> DataFrame:
+def estimate(grams: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Modified Kneser-Ney over counted 4-grams (model, a, b, n).
 
     model, kind, a, b, log_p: for kind 1 to ORDER the log probability of each n-gram's last sign
     after the others, for kind CONTEXT and up the log back-off weight of each context, for kind
     UNMET the even odds of a sign, 1 in (different signs + 1). Lower orders count different
-    left neighbours.
+    left neighbours. Large steps are written, so that plans stay small; the written tables are
+    returned too, for their deletion.
     """
     levels = {ORDER: grams}
     for order in range(ORDER - 1, 0, -1):
         levels[order] = levels[order + 1].groupBy("model", *_suffix(order)).agg(F.count(F.lit(1)).alias("n"))
-    lower, out = None, []
+        if order == ORDER - 1:
+            levels[order] = cut(levels[order])
+    lower, out, written = None, [], [levels[ORDER - 1]]
     for order in range(1, ORDER + 1):
         s = [F.count_if(F.col("n") == k).cast("double").alias(f"s{k}") for k in (1, 2, 3, 4)]
         y = F.when(F.col("s1") > 0, F.col("s1") / (F.col("s1") + 2 * F.col("s2"))).otherwise(0.0)
@@ -189,17 +192,20 @@ def estimate(grams: DataFrame) -> DataFrame:
         contexts = level.groupBy("model", "a", "head").agg(F.sum("n").alias("many"), F.sum("taken").alias("free"))
         own = level.join(contexts, ["model", "a", "head"]).select("model", "a", "b", ((F.col("n") - F.col("taken")) / F.col("many")).alias("own"), (F.col("free") / F.col("many")).alias("weight"), "even")
         if lower is None:
-            lower = own.select("model", "a", "b", (F.col("own") + F.col("weight") * F.col("even")).alias("p"))
             out.append(offs.select("model", F.lit(UNMET).alias("kind"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.log("even").alias("log_p")))
+            lower = own.select("model", "a", "b", (F.col("own") + F.col("weight") * F.col("even")).alias("p"))
         else:
             la, lb = _suffix(order - 1)
             low = lower.select("model", F.col("a").alias("la"), F.col("b").alias("lb"), F.col("p").alias("below"))
             lower = own.select("*", la.alias("la"), lb.alias("lb")).join(low, ["model", "la", "lb"]).select("model", "a", "b", (F.col("own") + F.col("weight") * F.col("below")).alias("p"))
+            if order < ORDER:
+                lower = cut(lower)
+                written.append(lower)
         out += [lower.select("model", F.lit(order).alias("kind"), "a", "b", F.log("p").alias("log_p")), contexts.select("model", F.lit(CONTEXT + order - 1).alias("kind"), "a", F.col("head").alias("b"), F.log(F.col("free") / F.col("many")).alias("log_p"))]
     every = out[0]
     for part in out[1:]:
         every = every.unionByName(part)
-    return every
+    return every, written
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -227,10 +233,12 @@ def train(texts: DataFrame) -> list:
     Returns each shard's file with its first and last model.
     """
     counted = cut(texts.mapInArrow(_count, "model string, a long, b long, n long").groupBy("model", "a", "b").agg(F.sum("n").alias("n")))
-    found = cut(estimate(counted).mapInArrow(_named, "model string, hash long, log_p float"))
+    every, written = estimate(counted)
+    found = cut(every.mapInArrow(_named, "model string, hash long, log_p float"))
+    drop(counted, *written)
     shards = cut(found.repartitionByRange(max(1, -(-found.count() // SHARD_ROWS)), "model", "hash").sortWithinPartitions("model", "hash"))
     index = shards.groupBy(F.input_file_name().alias("file")).agg(F.min("model"), F.max("model")).orderBy("file").collect()  # one row a shard
-    drop(counted, found)
+    drop(found)
     return [tuple(r) for r in index]
 
 
@@ -327,7 +335,7 @@ def _figures(index: list, at: tuple[int, int, int], keep: list[int]):
         for batch in batches:
             named = pa.record_batch([batch.column(i) for i in at], names=["text", "lang", "fold"])
             rows: list[list] = [[] for _ in range(10)]
-            for texts, langs, folds in text_groups([named], ["text", "lang", "fold"]):
+            for texts, langs, folds in text_groups([named], ["text", "lang", "fold"], limit=GROUP):
                 groups = np.array([_group(x) for x in langs], dtype=object)
                 other = np.array([str(1 - int(f)) + g for f, g in zip(folds, groups, strict=True)], dtype=object)
                 a_sign, a_word, size = np.full(len(texts), np.nan), np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
