@@ -153,3 +153,14 @@ def text_groups(batches, columns: list[str], text: str = "text", limit: int = 2_
 def ordering_id(column: str = "doc_id"):
     """The id as a long; null ids come last."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
+
+
+_STEP = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+#: DuckDB: a common table expression with the CRC-32 (reflected, 0xEDB88320) of each byte value as list t.
+SQL_NUMBERS = f"numbers AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: {_STEP})) AS t)"
+
+
+def sql_crc32(name: str) -> str:
+    """DuckDB: CRC-32 of an ASCII text column, where `numbers` is in scope."""
+    letters = f"list_transform(range(1, length({name}) + 1), lambda i: CAST(ascii(substr({name}, i, 1)) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {letters}), lambda a, b: xor(a // 256, t[1 + xor(a % 256, b)])), 4294967295)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, langid, licenses, mixing, packing, phrases, quality, simhash, suffixes, topk
+from . import chat, counts, langid, licenses, mixing, packing, periods, phrases, quality, simhash, suffixes, topk, trie
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_suffix_dedup": suffixes.op8_suffix_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_periodic_runs": periods.op12_periodic_runs,
+    "op13_token_counts": counts.op13_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.op2_sql(),
@@ -22,4 +25,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_top_k": topk.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
     "op7_mixing": mixing.OP7_SQL,
+    "op11_prefix_trie": trie.OP11_SQL,
+    "op12_periodic_runs": periods.OP12_SQL,
 }
