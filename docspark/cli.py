@@ -55,8 +55,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 def _extract(spark, args) -> int:
-    keys = files.keys_file(spark, args.keys_file) if args.keys_file else spark.createDataFrame([(args.key,)], "key string")
-    keys = keys.withColumn("ordinal", F.monotonically_increasing_id()).groupBy("key").agg(F.min("ordinal").alias("ordinal"))
+    keys = files.numbered_keys(spark, args.keys_file) if args.keys_file else spark.createDataFrame([(0, args.key)], "ordinal long, key string")
+    keys = keys.groupBy("key").agg(F.min("ordinal").alias("ordinal"))
     texts = files.texts(spark, args.source, "").join(keys, "key").withColumnRenamed("md", "text")
     typed = classify.classify(texts)
     if args.show_image:

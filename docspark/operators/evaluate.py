@@ -72,6 +72,35 @@ def by_field(results: DataFrame) -> DataFrame:
     return results.groupBy("agent", "field").agg(ratio(F.count_if("matched"), F.count("*")).alias("match_rate"), F.count("*").alias("examples"))
 
 
+STATE = ["n_matched", "n_actual", "n_expected", "examples"]
+
+
+def partial(results: DataFrame) -> DataFrame:
+    """State of a run's scorecard: counts by agent, jurisdiction and field. As many rows as the registries have such triples, whatever the run's size."""
+    counts = [F.count_if("matched"), F.count_if(F.col("actual") != ""), F.count_if(F.col("expected") != ""), F.count("*")]
+    return results.groupBy("agent", "jurisdiction", "field").agg(*[c.alias(n) for c, n in zip(counts, STATE, strict=True)])
+
+
+def merged(states: DataFrame) -> DataFrame:
+    """One state of the rows of several."""
+    return states.groupBy("agent", "jurisdiction", "field").agg(*[F.sum(n).alias(n) for n in STATE])
+
+
+def of_states(states: DataFrame, by: list[str]) -> DataFrame:
+    """The figures of by_agent() or by_jurisdiction() from states of any number of runs: a field counts as covered once any of them matched it."""
+    fields = states.groupBy(*by, "field").agg(*[F.sum(n).alias(n) for n in STATE])
+    hit = F.sum("n_matched")
+    return fields.groupBy(*by).agg(
+        ratio(hit, F.sum("n_actual")).alias("precision"), ratio(hit, F.sum("n_expected")).alias("recall"),
+        ratio(F.count_if(F.col("n_matched") > 0), F.count("*")).alias("field_coverage"), F.sum("examples").alias("examples"),
+    )
+
+
+def fields_of_states(states: DataFrame) -> DataFrame:
+    """The figures of by_field() from states."""
+    return states.groupBy("agent", "field").agg(ratio(F.sum("n_matched"), F.sum("examples")).alias("match_rate"), F.sum("examples").alias("examples"))
+
+
 def in_one_pass(results: DataFrame) -> DataFrame:
     """Agent, field, jurisdiction and total figures from one scan: a row per grouping set, `level` names it."""
     sets = [["agent"], ["agent", "field"], ["agent", "jurisdiction"], []]

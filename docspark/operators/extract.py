@@ -1,8 +1,8 @@
 """Extractor boundary: where a model sat, any function from rows to records can be plugged in.
 
-Rows reach the extractor Arrow-batched. Retries happen inside the batch function, and every
-failure becomes a row: tasks never fail for a document, so Spark's task retry does not pay
-for a call twice. Filters on keys and types belong before the boundary; Catalyst does not
+Rows reach the extractor Arrow-batched. Retries happen inside the batch function (in
+streaming.limited they wait in state instead, and no task sleeps), and every failure becomes
+a row: tasks never fail for a document, so Spark's task retry does not pay for a call twice. Filters on keys and types belong before the boundary; Catalyst does not
 move them across it.
 """
 
@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keyed import placed
+
 ATTEMPT = "struct<tier:string,success:boolean,latency_ms:double,agent:string,provider:string,model:string,cost_usd:double>"
 RESULT = f"ordinal long, key string, doc_type string, fields map<string,string>, status string, error string, attempts array<{ATTEMPT}>"
 
@@ -41,40 +43,51 @@ class Invalid(Exception):
 NOTHING_SAID = {"provider": "", "model": "", "cost_usd": 0.0}
 
 
+def step(call: Callable, row: dict, tier: str, n: int, made: list[dict], above: dict[str, str], agent: str, tries: int = 3) -> tuple[tuple[dict, str, str] | None, tuple[str, int, bool]]:
+    """One call for a row, after n turned-away ones at this tier; it is added to made.
+
+    (fields, status, error) if that settles the row, else None; and the tier and number of
+    turned-away calls to go on with, and whether to wait before.
+    """
+    began = time.monotonic()
+    log = lambda ok, said=NOTHING_SAID: made.append({"tier": tier, "success": ok, "latency_ms": 1000 * (time.monotonic() - began), "agent": agent, **said})
+    try:
+        fields = call(row, tier)
+        log(True, getattr(fields, "said", NOTHING_SAID))
+        return (dict(fields), "passed", ""), (tier, n, False)
+    except RateLimited:
+        log(False)
+        return ({}, "rate_limited", "rate limited") if n + 1 == tries else None, (tier, n + 1, True)
+    except Invalid as e:
+        log(False)
+        higher = above.get(tier)
+        settled = higher is None or any(a["tier"] == higher for a in made)
+        return ({}, "failed", f"invalid: {e}") if settled else None, (higher or tier, 0, False)
+    except Exception as e:
+        log(False)
+        return ({}, "provider_unavailable", f"{type(e).__name__}: {e}"), (tier, n, False)
+
+
+def wait(n: int, base: float, rng: random.Random) -> float:
+    """Seconds before the call that follows the n-th turned-away one: doubling, with jitter."""
+    return base * 2 ** (n - 1) + rng.random() * base
+
+
 def attempt(call: Callable, row: dict, tier: str, above: dict[str, str], agent: str, tries: int = 3, base: float = 1.0, sleep: Callable = time.sleep, seed: int = 0):
     """fields, status, error, attempts of one row: rate limits are waited out, an invalid answer is asked for once more one tier up."""
     if tries < 1:
         raise ValueError("tries must be positive")
-    made, rng = [], random.Random(seed)
+    made, rng, n = [], random.Random(seed), 0
     while True:
-        for n in range(tries):
-            began = time.monotonic()
-            log = lambda ok, said=NOTHING_SAID: made.append({"tier": tier, "success": ok, "latency_ms": 1000 * (time.monotonic() - began), "agent": agent, **said})  # noqa: E731, B023
-            try:
-                fields = call(row, tier)
-                log(True, getattr(fields, "said", NOTHING_SAID))
-                return dict(fields), "passed", "", made
-            except RateLimited:
-                log(False)
-                if n + 1 == tries:
-                    return {}, "rate_limited", "rate limited", made
-                sleep(base * 2**n + rng.random() * base)
-            except Invalid as e:
-                log(False)
-                higher = above.get(tier)
-                if higher is None or any(a["tier"] == higher for a in made):
-                    return {}, "failed", f"invalid: {e}", made
-                tier = higher
-                break
-            except Exception as e:
-                log(False)
-                return {}, "provider_unavailable", f"{type(e).__name__}: {e}", made
-        else:
-            return {}, "failed", "no answer", made
+        settled, (tier, n, turned_away) = step(call, row, tier, n, made, above, agent, tries)
+        if settled:
+            return (*settled, made)
+        if turned_away:
+            sleep(wait(n, base, rng))
 
 
 def extract(rows: DataFrame, call: Callable, tier: str = "rules", above: dict[str, str] | None = None, concurrency: int = 10, tries: int = 3, base: float = 1.0) -> DataFrame:
-    """One result row for each row of rows (key, doc_type, text). `ordinal` is the input's place: its own column of that name, else one that follows the rows' order.
+    """One result row for each row of rows (key, doc_type, text). `ordinal` is the input's place: its own column of that name, else the key's place among all keys.
 
     concurrency bounds the calls under way, not the partitions: each of the cluster's cores
     gets its share as threads, and where there are more cores than calls, partitions are merged.
@@ -94,8 +107,9 @@ def extract(rows: DataFrame, call: Callable, tier: str = "rules", above: dict[st
                 out = list((pool.map if threads > 1 else map)(one, frame.to_dict("records")))
                 yield pd.DataFrame(out, columns=["ordinal", "key", "doc_type", "fields", "status", "error", "attempts"])
 
-    place = F.col("ordinal").cast("long") if "ordinal" in rows.columns else F.monotonically_increasing_id()
-    some = rows.select(place.alias("ordinal"), "key", "doc_type", "text")
+    if "ordinal" not in rows.columns:
+        rows = placed(rows.select("key", "doc_type", "text"), ["key"])
+    some = rows.select(F.col("ordinal").cast("long").alias("ordinal"), "key", "doc_type", "text")
     return (some.coalesce(concurrency) if concurrency < cores else some).mapInPandas(run, RESULT)
 
 

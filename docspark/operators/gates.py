@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .keyed import newest_groups
+from .selection import exact_percentile
 
 SLACK = 1e-9
 MEDIAN_CEILING, RUN_CEILING = 0.03, 15.0
@@ -46,12 +47,11 @@ def successes(events: DataFrame) -> DataFrame:
 def median_gate(events: DataFrame, days: int = 7, ceiling: float = MEDIAN_CEILING) -> DataFrame:
     """median_usd, records, days, passed over the successful records of the newest days.
 
-    The exact median merges a map of costs to counts, whose size is the number of different
-    costs; costs of one amount are counted before they meet.
+    The median is exact and found by selection, so no task holds all costs.
     """
     kept = successes(newest_groups(events, "event_date", days))
-    counted = kept.groupBy("cost_usd", "event_date").agg(F.count("*").alias("n"))
-    out = counted.agg(F.percentile("cost_usd", 0.5, F.col("n")).alias("median_usd"), F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.count_distinct("event_date").alias("days"))
+    median = exact_percentile(kept, "cost_usd")
+    out = kept.agg(F.lit(median).cast("double").alias("median_usd"), F.count("*").alias("records"), F.count_distinct("event_date").alias("days"))
     return out.withColumn("passed", F.col("median_usd").isNull() | (F.col("median_usd") <= ceiling))
 
 

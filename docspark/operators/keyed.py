@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def analysis_key(key: Column) -> Column:
     return F.concat(key, F.lit(".md"))
@@ -58,6 +60,29 @@ def ordinals(rows: DataFrame, key: list[str], order: list[Column], name: str = "
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1)
 
 
+def placed(rows: DataFrame, order: list[str], name: str = "ordinal") -> DataFrame:
+    """Place of each row in the whole of rows by the order columns, from 0 without gaps; rows alike in those stand by their other columns' hash.
+
+    The places are the same however rows are partitioned, and are computed once: rows are
+    sorted in ranges and written, ranges are counted, and each row adds the rows before its
+    range to its place in it.
+    """
+    rest = [f.name for f in rows.schema if f.name not in order and not f.dataType.simpleString().startswith("map")]
+    sorted_ = rows.withColumn("_tie", F.xxhash64(*rest) if rest else F.lit(0)).repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    own = F.monotonically_increasing_id() % (1 << 33)  # the place within a task
+    kept = written(sorted_.select("*", F.spark_partition_id().alias("_range"), own.alias("_own")))
+    counts = kept.groupBy("_range").agg(F.count("*").alias("_n"))  # one row a task
+    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    return kept.join(F.broadcast(before), "_range").select(*[c for c in rows.columns if c != name], (F.col("_before") + F.col("_own")).alias(name))
+
+
+def bucketed(rows: DataFrame, name: str, key: str = "key", buckets: int = 64, path: str | None = None) -> DataFrame:
+    """rows saved as table `name`, bucketed and sorted by key. Two tables with as many buckets join and skip on that key without moving a row."""
+    writer = rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
 def newest_groups(rows: DataFrame, group: str, n: int) -> DataFrame:
     """Rows of the n newest values of a column; the values are found from their distinct list."""
     newest = rows.select(group).distinct().orderBy(F.desc(group)).limit(n)

@@ -16,12 +16,12 @@ CANONICAL = ["receipt_debit_account_name", "receipt_debit_account_number", "rece
 
 
 def extract_new(keys: DataFrame, done: DataFrame, call: Callable = extract.rule_extractor, config: DataFrame | None = None, version: str = evaluate.VERSION, timestamp: str | None = None, **options) -> DataFrame:
-    """A row for each key of keys (key, doc_type, text): skipped where an analysis exists, else the extractor's result. `ordinal` is the place of the key in the input.
+    """A row for each key of keys (key, doc_type, text): skipped where an analysis exists, else the extractor's result. `ordinal` is the key's own, else its place among all keys.
 
     With config (doc_type, provider, model, prompt_version), records hold their provenance.
     """
     if "ordinal" not in keys.columns:
-        keys = keys.withColumn("ordinal", F.monotonically_increasing_id())
+        keys = keyed.placed(keys, ["key"])
     results = extract.extract(keyed.pending(keys, done), call, **options)
     if config is not None:
         results = extract.with_provenance(results, config, version, timestamp or evaluate.utc_now())

@@ -12,7 +12,7 @@ from ..functions import codes, dates, match, pii
 from ..functions import text as tx
 from ..operators import evaluate, extract, gates, keyed, legacy, receipts, records
 from ..sources import files
-from . import duck, inputs
+from . import duck, inputs, stored
 from .inputs import case, text
 
 CATALOG: dict[str, tuple[Callable, str | None]] = {}
@@ -278,3 +278,5 @@ query("page_split", f"SELECT {text('page_id')} AS key, concat(url, chr(12), 'sec
 query("registry_extract", f"SELECT {text('c_custkey')} AS key, {case('c_custkey', [chr(39) + t + chr(39) for t in ('Passport', 'BankStatement', 'Unheard')])} AS doc_type, concat('- Full Name: ', c_name, chr(10), 'Account Number: 12-3', chr(10), '**Passport Number: E', {text('c_custkey')}) AS text FROM {{customer}}", lambda d: extract.extract(d, extract.by_registry).select("key", "status", F.coalesce(F.try_element_at("fields", F.lit("passport_number")), F.lit("")).alias("passport_number"), F.coalesce(F.try_element_at("fields", F.lit("account_number")), F.lit("")).alias("account_number")), "SELECT key, CASE WHEN doc_type = 'Unheard' THEN 'failed' ELSE 'passed' END AS status, CASE WHEN doc_type = 'Passport' THEN 'E' || key ELSE '' END AS passport_number, CASE WHEN doc_type = 'BankStatement' THEN '12-3' ELSE '' END AS account_number FROM @src")
 
 from . import rules  # noqa: E402, F401  registers its queries
+
+CATALOG.update(stored.QUERIES)

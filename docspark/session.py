@@ -1,8 +1,12 @@
-"""Session settings the library expects."""
+"""Session settings the library expects, and the folder that all executors share."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import atexit
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(name: str = "docspark", **conf: str) -> SparkSession:
@@ -11,3 +15,42 @@ def session(name: str = "docspark", **conf: str) -> SparkSession:
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under spark.checkpoint.dir, deleted when the program ends. Only a session of one machine may do without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="docspark-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/docspark-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written to a shared folder and read back: computed once, and safe from lost executors."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path, for listing and renaming on the driver."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+@atexit.register
+def _clear() -> None:
+    for spark, path in _made:
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(at, True)
+        except Exception:  # noqa: BLE001  the Java side is gone, and nothing can be deleted any more
+            return

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.keyed import placed
+from ..session import file_system
+
 TELEMETRY = "timestamp string, source_key string, doc_type string, agent string, provider string, model string, cost_usd double, latency_ms double, retry_count int, success boolean, prompt_version string, extractor_version string"
 IMAGES = r"(?i)\.(jpe?g|png|pdf)$"
 CONTENT_TYPES = {"pdf": "application/pdf", "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg"}
@@ -38,6 +44,13 @@ def keys_file(spark: SparkSession, path: str) -> DataFrame:
     return keys_of(spark.read.text(path))
 
 
+def numbered_keys(spark: SparkSession, path: str) -> DataFrame:
+    """keys_file() with `ordinal`, the key's place among the keys of the list, whatever the number of tasks that read it."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    key = F.regexp_replace("value", r"(?U)^\s+|\s+\z", "")
+    return placed(lines.select(key.alias("key"), "_file", "_block", "_line").where("key <> '' AND NOT startswith(key, '#')"), ["_file", "_block", "_line"]).select("ordinal", "key")
+
+
 def keys_of(lines: DataFrame, column: str = "value") -> DataFrame:
     key = F.regexp_replace(column, r"(?U)^\s+|\s+\z", "")
     return lines.select(key.alias("key")).where("key <> '' AND NOT startswith(key, '#')")
@@ -66,6 +79,22 @@ def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     return telemetry_of(spark.read.text(path))
 
 
+def telemetry_days(spark: SparkSession, path: str) -> list[str]:
+    """Days with telemetry, newest first, from the folders' names alone."""
+    fs, at = file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted((n.removeprefix("event_date=") for n in names if re.fullmatch(r"event_date=\d{4}-\d{2}-\d{2}", n)), reverse=True)
+
+
+def newest_telemetry(spark: SparkSession, path: str, days: int = 7) -> DataFrame:
+    """read_telemetry() of the newest days; other days' files are neither listed nor read."""
+    found = telemetry_days(spark, path)[:days]
+    if not found:
+        return telemetry_of(spark.createDataFrame([], "value string, event_date date"))
+    lines = spark.read.option("basePath", path).text([f"{path.rstrip('/')}/event_date={d}" for d in found])
+    return telemetry_of(lines.where(F.col("event_date").isin([date.fromisoformat(d) for d in found])))
+
+
 def telemetry_of(lines: DataFrame) -> DataFrame:
     """The well-formed records of lines (value), with the lines' other columns."""
     day = [c for c in lines.columns if c != "value"]
