@@ -6,12 +6,23 @@ line ends matter, so that only a line feed ends a line.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: White space of Unicode, and the four separators that count as such in texts.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(WHITE))
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def clean_name(c: Column) -> Column:
@@ -55,9 +66,11 @@ def without_parentheses(c: Column) -> Column:
 
 
 def normalise_sex(c: Column) -> Column:
-    up = F.upper(c)
-    says = lambda word, letter, sign: F.contains(up, F.lit(word)) | F.contains(F.concat(F.lit(" "), up), F.lit(" " + letter)) | F.contains(c, F.lit(sign))
-    return F.when(F.coalesce(c, F.lit("")) == "", "").when(says("FEMALE", "F", "女"), "F").when(says("MALE", "M", "男"), "M").otherwise("")
+    def read(up: Column) -> Column:
+        says = lambda word, letter, sign: F.contains(up, F.lit(word)) | F.contains(up, F.lit(" " + letter)) | F.contains(up, F.lit(sign))
+        return F.when(says("FEMALE", "F", "女"), "F").when(says("MALE", "M", "男"), "M").otherwise("")
+
+    return F.when(F.coalesce(c, F.lit("")) == "", "").otherwise(let(F.concat(F.lit(" "), F.upper(c)), read))
 
 
 def split_list(c: Column) -> Column:

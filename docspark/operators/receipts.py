@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import long_day
-from ..functions.text import clean_account, clean_name, normalise_amount, strip, strip_quotes
+from ..functions.text import WHITE, clean_account, clean_name, normalise_amount, strip, strip_quotes
 
 #: Receipt fields, the labels that introduce them, and whether brackets around a value go (name) or it stays as printed (account).
 LABELS = {
@@ -54,40 +54,105 @@ def cn_receipt(found: Column) -> dict[str, Column]:
     return out
 
 
-#: The phrases of a narrative body: `of` a code and a number, an account with its number, and `on` a day.
-AMOUNT = r"(?iU)\bof\s+[a-z]{3}\s+[\d,]+(?:\.\d\d)?\b"
-ACCOUNT = r"(?iUd)\b(?:from|to)\s+account\s+.+?\(account\s+number\s+[\d-]+\)"
-DAY = r"(?U)\bon\s+(?:[A-Za-z]+,\s+)?\d{1,2}\s+[A-Za-z]+\s+\d{4}\b"
+DIGITS = "0123456789"
 
 
-def nz_pieces(body: Column) -> Column:
-    """The phrases of a narrative body: words of the first amount in a known currency, the last account of each direction as (name, number), words of the day."""
-    words = lambda c: F.split(c, r"(?U)\s+")
-    amounts = F.filter(F.transform(F.regexp_extract_all(body, F.lit(AMOUNT), 0), words), lambda w: F.upper(w[1]).isin(CURRENCIES))
-    accounts = F.regexp_extract_all(body, F.lit(ACCOUNT), 0)
+def _after(body: Column, word: str) -> Column:
+    """What follows each occurrence of a word, as an array in order."""
+    parts = F.split(body, rf"(?U){word}\s+")
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
-    def account(way: str) -> Column:
-        phrase = F.try_element_at(F.filter(accounts, lambda x: F.lower(x).startswith(way)), F.lit(-1))
-        halves = F.split(phrase, r"(?iU)\s*\(account\s+number\s+(?=[\d-]+\)$)")
-        return F.struct(F.regexp_replace(halves[0], r"(?iU)^\w+\s+account\s+", "").alias("name"), F.rtrim(halves[1], F.lit(")")).alias("number"))
 
-    return F.struct(F.get(amounts, F.lit(0)).alias("amount"), account("from").alias("sender"), account("to").alias("receiver"), words(F.nullif(F.regexp_extract(body, DAY, 0), F.lit(""))).alias("day"))
+def _words(c: Column, n: int) -> Column:
+    """The first n words of a text that begins with one; further words are the last entry's."""
+    return F.split(c, r"(?U)\s+", n + 1)
+
+
+def _only(c: Column, letters: str) -> Column:
+    """c has letters of this set and no others."""
+    return (c != "") & (F.translate(c, letters, "") == "")
+
+
+def _joins(c: Column) -> Column:
+    """c begins with a letter, digit or underscore, so the word before goes on."""
+    return c.rlike(r"^[\p{L}\p{N}_]")
+
+
+def number_word(word: Column) -> Column:
+    """Digits of the number that a word begins with, its two decimals kept and its commas dropped; '' if it begins with none.
+
+    A number that runs on into letters ends at its last comma.
+    """
+    whole, cents = F.substring_index(word, ".", 1), F.substring_index(word, ".", -1)
+    rest = F.translate(whole, DIGITS + ",", "")
+    lead = F.when(rest == "", whole).otherwise(F.call_function("substring_index", whole, F.substring(rest, 1, 1), F.lit(1)))
+    lead = F.when(_joins(rest), F.when(F.contains(lead, F.lit(",")), F.left(lead, F.length(lead) - F.length(F.substring_index(lead, ",", -1)))).otherwise("")).otherwise(lead)
+    plain = normalise_amount(lead)
+    after = F.substring(word, F.length(whole) + 2, F.length(word))
+    pair = F.substring(after, 1, 2)
+    decimals = (rest == "") & F.contains(word, F.lit(".")) & _only(pair, DIGITS) & (F.length(pair) == 2) & ~_joins(F.substring(after, 3, 1))
+    return F.when(decimals & (plain != ""), F.concat(plain, F.lit("."), pair)).otherwise(plain)
+
+
+def paid_tails(body: Column) -> Column:
+    """What follows each `of`, where that is a known currency and a number that ends as a word does."""
+    known = "|".join(CURRENCIES)
+    return F.filter(_after(body, r"(?i)\bof"), lambda t: t.rlike(rf"(?U)^(?i:{known})\s+[0-9,]*[0-9](?:\W|$)"))
+
+
+def at_numbers(body: Column) -> Column:
+    """The body cut at the brackets that open an account number."""
+    return F.split(body, r"(?iU)\(account\s+number\s+")
+
+
+def accounts(parts: Column) -> Column:
+    """(way, name, number) of each cut of at_numbers(): the number up to the closing bracket; before it in its line, after `from account` or `to account`, the name."""
+    n = F.greatest(F.size(parts) - 1, F.lit(0))
+
+    def read(before: Column, after: Column) -> Column:
+        marked = F.regexp_replace(F.rtrim(before, F.lit(WHITE)), r"(?iU)\b(from|to)\s+account\s+", "\x01$1\x02")
+        return F.struct(F.split(F.substring_index(marked, "\n", -1), "\x01").alias("ways"), F.when(F.contains(after, F.lit(")")), F.substring_index(after, ")", 1)).alias("number"))
+
+    def named(x: Column) -> Column:
+        first, more = F.get(x["ways"], F.lit(1)), F.slice(x["ways"], 3, F.size(x["ways"]))
+        name = F.substring_index(first, "\x02", -1)
+        whole = F.when(F.size(x["ways"]) > 2, F.concat(name, F.replace(F.array_join(more, ""), F.lit("\x02"), F.lit(" account ")))).otherwise(name)
+        return F.struct(F.lower(F.substring_index(first, "\x02", 1)).alias("way"), whole.alias("name"), x["number"].alias("number"))
+
+    found = F.transform(F.zip_with(F.slice(parts, F.lit(1), n), F.slice(parts, F.lit(2), n), read), named)
+    return F.filter(found, lambda x: x["way"].isNotNull() & _only(F.coalesce(x["number"], F.lit("")), DIGITS + "-"))
+
+
+def first_day(tails: Column) -> Column:
+    """[day, month, year] of the first words after an `on` that are a day, a weekday and its comma being left out."""
+    def parts(w: Column) -> Column:
+        return F.slice(w, F.when(w[0].rlike("^[A-Za-z]+,$"), 2).otherwise(1), 3)
+
+    def is_day(w: Column) -> Column:
+        year = F.coalesce(F.get(w, F.lit(2)), F.lit(""))
+        return (F.size(w) == 3) & _only(w[0], DIGITS) & (F.length(w[0]) <= 2) & w[1].rlike("^[A-Za-z]+$") & _only(F.left(year, F.lit(4)), DIGITS) & (F.length(year) >= 4) & ~_joins(F.substring(year, 5, 1))
+
+    return F.get(F.filter(F.transform(tails, parts), is_day), F.lit(0))
 
 
 def with_pieces(df: DataFrame, body: str) -> DataFrame:
-    """df with `_nz`, the narrative phrases."""
-    return once(df, _nz=nz_pieces(F.col(body)))
+    """df with `_nz`: the first amount's words, the last account of each direction and the first day of a narrative body. Each step is computed once a row."""
+    cut = F.struct(F.get(paid_tails(F.col(body)), F.lit(0)).alias("paid"), at_numbers(F.col(body)).alias("parts"), F.transform(_after(F.col(body), r"\bon"), lambda t: _words(t, 4)).alias("days"))
+    found = F.struct("_cut.paid", accounts(F.col("_cut.parts")).alias("accounts"), first_day(F.col("_cut.days")).alias("day"))
+    of, day = F.col("_found"), F.col("_found.day")
+    last = lambda way: F.try_element_at(F.filter(of["accounts"], lambda x: x["way"] == way), F.lit(-1)).alias(way)
+    number = F.regexp_extract(of["paid"], r"(?U)^\S+\s+(\S+)", 1)
+    made = F.struct("_found.paid", last("from"), last("to"), "_found.day", F.upper(F.left(of["paid"], F.lit(3))).alias("currency"), number_word(number).alias("amount"), long_day(day[0], day[1], F.left(day[2], F.lit(4))).alias("time"))
+    return once(df, _cut=cut, _found=found, _nz=made).drop("_cut", "_found")
 
 
 def nz_receipt(pieces: Column) -> dict[str, Column]:
-    """Seven receipt fields from nz_pieces, and `error`: '' or why the body is no such sentence."""
-    day = lambda i: F.try_element_at(pieces["day"], F.lit(i))
-    time = long_day(day(-3), day(-2), day(-1))
-    error = F.when(pieces["amount"].isNull(), "amount").when(pieces["sender"]["number"].isNull() | pieces["receiver"]["number"].isNull(), "accounts").when(pieces["day"].isNull(), "date").when(time.isNull(), "calendar").otherwise("")
+    """Seven receipt fields from with_pieces, and `error`: '' or why the body is no such sentence."""
+    error = F.when(pieces["paid"].isNull(), "amount").when(pieces["from"].isNull() | pieces["to"].isNull(), "accounts").when(pieces["day"].isNull(), "date").when(pieces["time"].isNull(), "calendar").otherwise("")
     return {
-        "receipt_amount": normalise_amount(pieces["amount"][2]), "receipt_currency": F.upper(pieces["amount"][1]), "receipt_time": time,
-        "receipt_debit_account_name": strip_quotes(pieces["sender"]["name"]), "receipt_debit_account_number": pieces["sender"]["number"],
-        "receipt_credit_account_name": strip_quotes(pieces["receiver"]["name"]), "receipt_credit_account_number": pieces["receiver"]["number"], "error": error,
+        "receipt_amount": pieces["amount"], "receipt_currency": pieces["currency"], "receipt_time": pieces["time"],
+        "receipt_debit_account_name": strip_quotes(pieces["from"]["name"]), "receipt_debit_account_number": pieces["from"]["number"],
+        "receipt_credit_account_name": strip_quotes(pieces["to"]["name"]), "receipt_credit_account_number": pieces["to"]["number"], "error": error,
     }
 
 

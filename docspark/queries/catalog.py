@@ -34,33 +34,27 @@ def query2(name: str, sources: dict[str, str], plan: Callable[..., DataFrame], s
 
 
 # Receipts
-_NZ = f"(SELECT *, {duck.NZ_ERROR} AS error FROM (SELECT k, body, {duck.nz_parts()} FROM @src))"
-_NZ_COLUMNS = ", ".join(f"{v} AS {n}" for n, v in duck.nz_fields().items())
-query("nz_receipt_parse", inputs.NZ, lambda d: receipts.parse_nz(d).drop("body"), f"SELECT k, {_NZ_COLUMNS}, error FROM {_NZ}")
+query("nz_receipt_parse", inputs.NZ, lambda d: receipts.parse_nz(d).drop("body"), f"SELECT * FROM {duck.NZ_ROWS}")
 query(
     "nz_receipt_totals", inputs.NZ,
     lambda d: receipts.parse_nz(d).groupBy("receipt_debit_account_name", "receipt_currency").agg(F.sum(F.expr("try_cast(receipt_amount AS decimal(18,2))")).cast("double").alias("amount"), F.count("*").alias("n"), F.count_distinct("receipt_credit_account_number").alias("payees")),
-    f"SELECT receipt_debit_account_name, receipt_currency, CAST(sum(CAST(receipt_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount, count(*) AS n, count(DISTINCT receipt_credit_account_number) AS payees FROM (SELECT {_NZ_COLUMNS} FROM {_NZ}) GROUP BY ALL",
+    f"SELECT receipt_debit_account_name, receipt_currency, CAST(sum(CAST(receipt_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount, count(*) AS n, count(DISTINCT receipt_credit_account_number) AS payees FROM {duck.NZ_ROWS} GROUP BY ALL",
 )
-query("cn_receipt_parse", inputs.CN, lambda d: receipts.parse_cn(d).drop("body"), "SELECT k, " + ", ".join(f"{duck.cn_field(n)} AS {n}" for n in receipts.FIELDS) + " FROM @src")
+query("cn_receipt_parse", inputs.CN, lambda d: receipts.parse_cn(d).drop("body"), f"SELECT * FROM {duck.CN_ROWS}")
 query(
     "cn_label_first_match", inputs.CN,
     lambda d: receipts.parse_cn(d).select("k", F.col("receipt_reference").alias("reference"), F.col("receipt_time").alias("time")),
-    f"SELECT k, {duck.cn_field('receipt_reference')} AS reference, {duck.cn_field('receipt_time')} AS time FROM @src",
+    f"SELECT k, receipt_reference AS reference, receipt_time AS time FROM {duck.CN_ROWS}",
 )
-_CN_ANY = " OR ".join(f"{duck.cn_field(n)} <> ''" for n in receipts.FIELDS)
-_EITHER = f"SELECT k, CASE WHEN {_CN_ANY} THEN 'cn' WHEN error = '' THEN 'nz' ELSE 'none' END AS layout, * EXCLUDE (k) FROM {_NZ}"
-_EITHER_COLUMNS = ", ".join(f"CASE WHEN layout = 'cn' THEN {duck.cn_field(n)} WHEN layout = 'nz' THEN {duck.nz_fields('true').get(n, chr(39) * 2)} ELSE '' END AS {n}" for n in receipts.FIELDS)
-query("receipt_fallback_route", inputs.MIXED, lambda d: receipts.parse_either(d).drop("body"), f"SELECT k, layout, {_EITHER_COLUMNS} FROM ({_EITHER})")
+query("receipt_fallback_route", inputs.MIXED, lambda d: receipts.parse_either(d).drop("body"), f"SELECT * FROM {duck.MIXED_ROWS}")
 _OLD = ["receipt_amount", "receipt_currency", "receipt_reference"]
-_REPAIR_SRC = f"SELECT k, body, {case('k', [chr(39) * 2, text('k % 5000') + ' || ' + chr(39) + '.00' + chr(39)])} AS old_receipt_amount, 'CNY' AS old_receipt_currency, {case('k', [chr(39) * 2, chr(39) + 'kept' + chr(39), 'CAST(NULL AS STRING)'])} AS old_receipt_reference FROM ({inputs.MIXED}) m"
-_MERGED = f"SELECT k, layout, old_receipt_amount, old_receipt_currency, old_receipt_reference, {_EITHER_COLUMNS} FROM ({_EITHER})"
+_OLD_SAYS = {"receipt_amount": case("k", ["''", text("k % 5000") + " || '.00'"]), "receipt_currency": "'CNY'", "receipt_reference": case("k", ["''", "'kept'", "CAST(NULL AS STRING)"])}
 query(
-    "receipt_repair_merge", _REPAIR_SRC,
+    "receipt_repair_merge", f"SELECT k, body, {', '.join(f'{v} AS old_{n}' for n, v in _OLD_SAYS.items())} FROM ({inputs.MIXED}) m",
     lambda d: receipts.merge_filled(receipts.parse_either(d), _OLD).select("k", "layout", *["merged_" + f for f in _OLD], F.array_join("changed", ",").alias("changed")),
     "SELECT k, layout, " + ", ".join(f"coalesce(nullif({f}, ''), old_{f}, '') AS merged_{f}" for f in _OLD)
-    + ", array_to_string(list_filter([" + ", ".join(f"CASE WHEN {f} <> '' AND {f} <> coalesce(old_{f}, '') THEN '{f}' END" for f in _OLD) + "], lambda x: x IS NOT NULL), ',') AS changed FROM ("
-    + _MERGED.replace(_NZ, f"(SELECT *, {duck.NZ_ERROR} AS error FROM (SELECT k, body, old_receipt_amount, old_receipt_currency, old_receipt_reference, {duck.nz_parts()} FROM @src))") + ")",
+    + ", array_to_string(list_filter([" + ", ".join(f"CASE WHEN {f} <> '' AND {f} <> coalesce(old_{f}, '') THEN '{f}' END" for f in _OLD) + "], lambda x: x IS NOT NULL), ',') AS changed "
+    + f"FROM (SELECT *, {', '.join(f'{v} AS old_{n}' for n, v in _OLD_SAYS.items())} FROM {duck.MIXED_ROWS})",
 )
 
 # Records

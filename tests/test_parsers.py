@@ -76,6 +76,37 @@ def test_nz(spark):
     assert twice["receipt_debit_account_name"] == "Zed"
 
 
+BODY = "Bank transfer of {money} sent to account {to} (account number 12-3456-7890123-00) from account {sender} (account number 98-7654-3210987-99) on {day}"
+
+
+@pytest.mark.parametrize("money,amount,ccy", [("NZD 15,000.00", "15000.00", "NZD"), ("gbp 99", "99", "GBP"), ("EUR 1,2.50.", "12.50", "EUR"), ("AUD 7.5", "7", "AUD"), ("USD 7.125", "7", "USD"), ("USD 15,000,", "15000", "USD"), ("AUD 1,234abc", "1", "AUD"), ("CNY 5 of NZD\n 6.00", "6.00", "NZD"), ("NZD\xa08.00)", "8.00", "NZD")])
+def test_nz_amounts(spark, money, amount, ccy):
+    got = nz(spark, BODY.format(money=money, to="A", sender="B", day="Friday, 5 December 2025"))
+    assert (got["receipt_amount"], got["receipt_currency"], got["error"]) == (amount, ccy, "")
+
+
+@pytest.mark.parametrize("money", ["NZD", "NZD x", "NZDX 5", "NZ 5", "NZD 12abc", "NZD ,"])
+def test_nz_no_amount(spark, money):
+    assert nz(spark, BODY.format(money=money, to="A", sender="B", day="5 December 2025"))["error"] == "amount"
+
+
+@pytest.mark.parametrize("to,sender,want", [("Acme  Ltd-1", "“Free Up-00”", ("Acme  Ltd-1", "Free Up-00")), ("Bank of China on Main", "'B'\n", ("Bank of China on Main", "B")), ("\n A", "x from account y", ("A", "x from account y")), ("A (NZ)", "B", ("A (NZ)", "B"))])
+def test_nz_names(spark, to, sender, want):
+    got = nz(spark, BODY.format(money="NZD 5", to=to, sender=sender, day="Friday, 5 December 2025"))
+    assert (got["receipt_credit_account_name"], got["receipt_debit_account_name"]) == want
+    assert (got["receipt_credit_account_number"], got["receipt_debit_account_number"]) == ("12-3456-7890123-00", "98-7654-3210987-99")
+
+
+@pytest.mark.parametrize("day,time", [("1 July 2025.", "2025-07-01T00:00:00Z"), ("Tuesday,  01 July\n2025", "2025-07-01T00:00:00Z"), ("time on Monday, 2 June 2025", "2025-06-02T00:00:00Z")])
+def test_nz_days(spark, day, time):
+    assert nz(spark, BODY.format(money="NZD 5", to="A", sender="B", day=day))["receipt_time"] == time
+
+
+@pytest.mark.parametrize("day", ["July 2025", "1 July 20256", "1 Ju1y 2025", "123 July 2025", "Mon 1 July 2025"])
+def test_nz_no_day(spark, day):
+    assert nz(spark, BODY.format(money="NZD 5", to="A", sender="B", day=day))["error"] == "date"
+
+
 def test_fallback_and_merge(spark):
     frame = spark.createDataFrame([("a", "金额: 5"), ("b", NZ), ("c", "none"), ("d", None)], "k string, body string")
     got = {r["k"]: r for r in receipts.parse_either(frame).collect()}
