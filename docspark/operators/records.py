@@ -1,7 +1,9 @@
 """Frontmatter records: three fence rules, parsing and rendering.
 
-YAML has quoting and typing rules that no built-in function follows, so its two ends are
-Arrow-batched functions; fences, schemas and everything after are expressions.
+Most frontmatter is flat: lines of `name: text`, the text quoted or beginning with a letter.
+Such heads are read by expressions. YAML has more quoting and typing rules than built-in
+functions follow, so other heads, and all rendering, are Arrow-batched functions; fences,
+schemas and everything after are expressions.
 """
 
 from __future__ import annotations
@@ -80,11 +82,44 @@ def render_yaml(records: pd.DataFrame) -> pd.Series:
     return pd.Series([one(r) for r in records.to_dict("records")], dtype="object")
 
 
+#: Words that YAML 1.1 reads as booleans or as nothing.
+TYPED = ["yes", "no", "true", "false", "on", "off", "null"]
+_TEXT = r"[\x20-\x7E\xA0-\u2027\u202A-\uD7FF\uE000-\uFEFE\uFF00-\uFFFD]"
+_PLAIN = r"[A-Za-z](?:[\w ./()&+-]*[\w./()&+-])?"
+#: A line of a flat mapping: a name, and nothing, a quoted text without quotes or escapes inside, or a plain one.
+_LINE = rf"(?!(?i:{'|'.join(TYPED)}):)[A-Za-z_][\w-]*:(?: +(?:\"(?:(?![\"\\]){_TEXT})*\"|'(?:(?!'){_TEXT})*'|(?!(?i:{'|'.join(TYPED)})(?:\n|$)){_PLAIN}))?"
+FLAT = rf"^\n*(?:{_LINE}\n+)+$"
+
+
+def flat(head: Column) -> Column:
+    """Whether a head is a flat mapping with each name once, which fields_of() reads."""
+    names = F.transform(_lines(head), lambda x: F.substring_index(x, ":", 1))
+    return head.rlike(FLAT) & (F.size(F.array_distinct(names)) == F.size(names))
+
+
+def _lines(head: Column) -> Column:
+    return F.filter(F.split(head, "\n"), lambda x: x != "")
+
+
+def fields_of(head: Column) -> Column:
+    """The map of a flat head; null for a name without a value."""
+    def read(line: Column) -> Column:
+        value = F.ltrim(F.substring(line, F.locate(":", line) + 1, F.length(line)))
+        quoted = F.left(value, F.lit(1)).isin("\"", "'")
+        return F.struct(F.substring_index(line, ":", 1).alias("key"), F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).when(value != "", value).alias("value"))
+
+    return F.map_from_entries(F.transform(_lines(head), read))
+
+
 def parse(df: DataFrame, md: str = "md") -> DataFrame:
-    """df with fields, lists, doc_type and error ('' if none) of its frontmatter."""
+    """df with fields, lists, doc_type and error ('' if none) of its frontmatter. Only heads that are no flat mapping go to the YAML reader."""
     _, head, _ = split_anywhere(F.col(md))
-    parsed = df.withColumn("_y", parse_yaml(head)).withColumn("error", F.when(head.isNull(), "no frontmatter").otherwise(F.col("_y.error")))
-    return parsed.select(*df.columns, F.col("_y.fields").alias("fields"), F.col("_y.lists").alias("lists"), F.try_element_at(F.col("_y.fields"), F.lit("doc_type")).alias("doc_type"), "error")
+    once = df.select("*", F.explode(F.array(F.struct(head.alias("head"), flat(head).alias("flat")))).alias("_h"))
+    simple = F.coalesce(F.col("_h.flat"), F.lit(False))
+    read = once.withColumn("_y", parse_yaml(F.when(~simple, F.col("_h.head"))))
+    fields, none = F.when(simple, fields_of(F.col("_h.head"))).otherwise(F.col("_y.fields")), F.create_map().cast("map<string,array<string>>")
+    parsed = read.withColumns({"_f": fields, "_l": F.when(simple, none).otherwise(F.col("_y.lists")), "error": F.when(F.col("_h.head").isNull(), "no frontmatter").when(simple, "").otherwise(F.col("_y.error"))})
+    return parsed.select(*df.columns, F.col("_f").alias("fields"), F.col("_l").alias("lists"), F.try_element_at("_f", F.lit("doc_type")).alias("doc_type"), "error")
 
 
 def typed(parsed: DataFrame, doc_type: str, keep: list[str]) -> DataFrame:

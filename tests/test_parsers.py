@@ -194,3 +194,58 @@ def test_record_errors(spark):
     got = records.parse(spark.createDataFrame([(m,) for m in mds], "md string"))
     assert [r["error"] for r in got.collect()] == ["", "dob: no text", "no frontmatter", "no mapping", ""]
     assert records.typed(got, "Visa", []).first()["error"] == "unknown: extra"
+
+
+def test_folding_every_character(spark):
+    import unicodedata
+
+    points = [p for p in range(0x20, 0x32000) if not 0xD800 <= p < 0xE000 and unicodedata.category(chr(p)) != "Cn"]  # what the library knows as assigned
+    texts = [f"x{chr(p)}Y \u00a0" for p in points]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", match.folded(F.col("t")).alias("f")).collect()
+    want = ["".join(c for c in unicodedata.normalize("NFKD", t.rstrip()) if unicodedata.category(c) != "Mn").lower() for t in texts]
+    wrong = [(hex(points[r.i]), r.f, want[r.i]) for r in got if r.f != want[r.i]]
+    assert not wrong, wrong[:20]
+    assert one(spark, match.normalised(F.col("a"), F.col("b")), a="ΟΔΟΣ ﬁ Å", b="οδος fi a") is True
+
+
+def test_flat_frontmatter_agrees_with_yaml(spark):
+    yaml = pytest.importorskip("yaml")
+    import random
+
+    draw = random.Random(4)
+    values = ["", " plain", " 'single'", ' "double"', " yes", " No", " null", " ~", " 12", " 1.5", " 2025-01-01", " a: b", " a #c", " 'it''s'", ' "a\\nb"', " [x, y]", " {a: b}", " - x", " |\n  block", " 中文", " '中文：☃'", ' "tab\there"', " e5", " a b  c ", " O'Brien", " \"\"", " ''", " A & B (NZ)", " .5", " truely", " on", " &x y", " *x", " !t x", " 'open", " x\n  y", " 0x1f", " 1:30", " a-b_c.d/e", " 'a' b"]
+    keys = ["doc_type", "name_latin", "a-b", "yes", "k1", "_x", "doc type", "1k", "no", "Null", "K"]
+    heads = ["\n" + "".join(f"{draw.choice(keys)}:{draw.choice(values)}\n" for _ in range(draw.randrange(0, 4))) + draw.choice(["", "", "\n", "# c\n", "  \n"]) for _ in range(3_000)]
+    heads += ["\nk: v\nk: w\n", "\na: b", " \na: b\n", "\r\na: b\r\n"]
+    got = records.parse(spark.createDataFrame(list(enumerate("---" + h + "---\nbody" for h in heads)), "i int, md string")).collect()
+    n = 0
+    for r in got:
+        head, fields, lists, error = heads[r.i], {}, {}, ""
+        if "---" in head:
+            continue
+        try:
+            data = yaml.safe_load(head) or {}
+            if not isinstance(data, dict):
+                error = "no mapping"
+            else:
+                for k, v in data.items():
+                    if v is None or isinstance(v, str):
+                        fields[str(k)] = v
+                    elif isinstance(v, list):
+                        lists[str(k)] = [x if isinstance(x, str) else str(x) for x in v]
+                    else:
+                        error = error or f"{k}: no text"
+        except yaml.YAMLError:
+            error = "no yaml"
+        assert (r.fields, r.lists, r.error) == (fields, lists, error), head
+        n += 1
+    assert n > 3_000 - 50
+    plain = spark.createDataFrame([(h,) for h in heads], "h string").where(records.flat(F.col("h")))
+    assert 50 < plain.count() < 2_500  # most of these heads are odd on purpose
+
+
+def test_plain_records_are_flat(spark):
+    rows = [(i, f"---\ndoc_type: PaymentReceipt\nname_latin: \"A B {i}\"\nreceipt_reference: '{i}'\n---\n\nbody") for i in range(50)]
+    df = spark.createDataFrame(rows, "k int, md string")
+    assert df.where(records.flat(records.split_anywhere(F.col("md"))[1])).count() == 50
+    assert {r.fields["receipt_reference"] for r in records.parse(df).collect()} == {str(i) for i in range(50)}
