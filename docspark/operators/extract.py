@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import pdf
 from .keyed import placed
 
 ATTEMPT = "struct<tier:string,success:boolean,latency_ms:double,agent:string,provider:string,model:string,cost_usd:double>"
@@ -174,8 +175,14 @@ def last_message(messages) -> object:
 
 
 def pages(documents: DataFrame, renderer: Callable | None = None) -> DataFrame:
-    """key, page_no, png for documents (key, content, mode): page1 or all_pages. renderer: bytes -> list of images; without one, pages are split at form feeds."""
+    """key, page_no, png, error for documents (key, content, mode): page1 or all_pages. renderer: bytes -> list of images.
+
+    Without one, a PDF gives the contents of its pages by its page tree, and any other text
+    what lies between form feeds. A document that cannot be read is one row with an error.
+    """
     def split(content: bytes) -> list[bytes]:
+        if b"%PDF-" in content[:1024]:
+            return [text for _, _, text in pdf.File(content).pages()]
         found = [p for p in content.split(b"\f") if p]
         if not found:
             raise ValueError("no pages")
@@ -197,6 +204,22 @@ def pages(documents: DataFrame, renderer: Callable | None = None) -> DataFrame:
     return documents.select("key", "content", "mode").mapInPandas(run, "key string, page_no int, png binary, error string")
 
 
+def page_tree(documents: DataFrame) -> DataFrame:
+    """key, page_no, object, ranges (start, length of its contents in the file), error for PDF documents (key, content, mode): one row a page, so that later steps fetch single pages."""
+    def run(frames):
+        for frame in frames:
+            out = []
+            for key, content, mode in zip(frame["key"], frame["content"], frame["mode"], strict=True):
+                try:
+                    found = pdf.File(bytes(content or b"")).pages()
+                    out += [(key, i, number, [{"start": s, "length": n} for s, n in ranges], "") for i, (number, ranges, _) in enumerate(found[:1] if mode == "page1" else found)]
+                except Exception as e:
+                    out.append((key, -1, None, [], f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["key", "page_no", "object", "ranges", "error"])
+
+    return documents.select("key", "content", "mode").mapInPandas(run, "key string, page_no int, object long, ranges array<struct<start:long,length:long>>, error string")
+
+
 def specialist(doc_type: str) -> Callable:
     """A rule-based extractor of one type: its mapper's labels, read from `label: value` lines."""
     from .legacy import mapping
