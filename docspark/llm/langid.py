@@ -6,7 +6,8 @@ landmarks, LANDMARKS of the learning texts dealt over the languages (one of each
 K(x, L) K(L, L)^(-1/2); one-versus-rest kernel ridge regression with targets 0 and 1 is
 solved on them. Because K(x, L) is a product of presence vectors, a batch of texts is scored
 by sparse presence times a (gram, language) matrix that folds in landmarks, whitening and
-ridge weights, so each n-gram of a text costs one row of that matrix.
+ridge weights: batches of presence rows (text, gram) times that matrix, on the grams that the
+batch has.
 
 N-grams are hashes of small letters' full code points, so scripts and letters stay apart.
 
@@ -39,7 +40,7 @@ SAMPLE, MOST, LANDMARKS, RIDGE = 2_000, 1_000, 256, 1e-3
 CODE_BITS = 24
 LAST_POINT = 0x323FF  # the last plane that holds letters
 FACTORS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)]
-GATHERED = 2_000_000  # numbers of the matrix added up at a time
+BATCH, PRODUCT = 64, 2_000_000  # texts, and numbers of the presence matrix, that are multiplied at a time
 UND = "und"
 
 
@@ -134,12 +135,24 @@ def fit(langs: list[str], grams: list[np.ndarray], landmarks: int = LANDMARKS, r
     return labels, vocabulary, (marks.T.astype(np.float64) @ (whiten @ weights)).astype(np.float32)
 
 
+def scored(rows: list[np.ndarray], sizes: list[int], matrix: np.ndarray) -> np.ndarray:
+    """Presence of a batch of texts times the matrix: rows are the matrix rows of each text's grams, sizes its numbers of grams."""
+    used = np.zeros(len(matrix), bool)
+    for r in rows:
+        used[r] = True
+    columns = np.cumsum(used) - 1
+    presence = np.zeros((len(rows), int(used.sum())))
+    for out, r, n in zip(presence, rows, sizes, strict=True):
+        out[columns[r]] = 1 / np.sqrt(n)
+    return presence @ matrix[used].astype(np.float64)
+
+
 def _predict(shared):
     def run(batches):
         labels, vocabulary, matrix = shared.value
         seen = Presence()
         place = np.full(1 << CODE_BITS, -1, np.int32) if labels else None
-        step = max(1, GATHERED // max(1, len(labels)))
+        step = max(1, min(BATCH, PRODUCT // max(1, len(vocabulary)))) if labels else 1
         if labels:
             place[vocabulary] = np.arange(len(vocabulary), dtype=np.int32)
         for ids, held, texts in text_groups(batches, ["doc_id", "held_out", "text"]):
@@ -147,13 +160,9 @@ def _predict(shared):
             lang, score = [UND] * len(texts), np.zeros(len(texts))
             ok = [i for i, g in enumerate(grams) if g is not None]
             if ok:
-                values = np.zeros((len(ok), len(labels)))
-                for out, i in zip(values, ok, strict=True):
-                    rows = place[grams[i]]
-                    rows = rows[rows >= 0]
-                    for k in range(0, len(rows), step):
-                        out += matrix[rows[k : k + step]].sum(0, dtype=np.float64)
-                    out /= np.sqrt(len(grams[i]))
+                rows = [place[grams[i]] for i in ok]
+                rows, sizes = [r[r >= 0] for r in rows], [len(grams[i]) for i in ok]
+                values = np.concatenate([scored(rows[k : k + step], sizes[k : k + step], matrix) for k in range(0, len(ok), step)])
                 best = values.argmax(1)
                 for i, b, v in zip(ok, best, values[np.arange(len(ok)), best], strict=True):
                     lang[i], score[i] = labels[b], min(1.0, max(0.0, v))
