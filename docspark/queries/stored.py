@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate, extract, gates, keyed, selection
 from ..session import shared_folder
-from ..sources import files, versions
+from ..sources import files, store, versions
 from ..streaming import ingest, limited
 from . import inputs
 
@@ -137,7 +137,61 @@ LIMITED_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS key, status, CASE status W
   CASE WHEN status = 'rate_limited' THEN 'rules,rules,rules' WHEN higher THEN 'rules,large' ELSE 'rules' END AS tiers, CASE WHEN status = 'passed' THEN c_name ELSE '' END AS name
 FROM (SELECT *, CASE WHEN c_custkey % 10 = 9 THEN 'rate_limited' WHEN c_custkey % 49 = 8 THEN 'failed' ELSE 'passed' END AS status, c_custkey % 7 = 1 AS higher FROM customer)"""
 
+OBJECTS = "SELECT concat('c/', CAST(c_custkey AS STRING)) AS key, concat(c_name, chr(10), CASE WHEN c_custkey % 2 = 0 THEN '名' ELSE '' END) AS md, c_custkey AS n FROM {customer}"
+
+
+def object_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as an object, written twice, the second time with a shorter text; sizes, kinds and texts as they are read back."""
+    root, rows = shared_folder(spark), inputs.run(spark, sf_dir, OBJECTS)
+    failed = store.put_analyses(rows, root)
+    failed = failed.unionByName(store.put_analyses(rows.where("n % 3 = 0").withColumn("md", F.lit("a")), root))
+    both = files.manifest(spark, root).join(files.texts(spark, root), "key").select("key", F.col("size").cast("long").alias("size"), "content_type", F.md5("md").alias("text_md5"))
+    return both.join(failed.select("key"), "key", "left_anti")
+
+
+OBJECTS_SQL = f"SELECT key || '.md' AS key, strlen(md) AS size, 'application/octet-stream' AS content_type, md5(md) AS text_md5 FROM (SELECT key, CASE WHEN n % 3 = 0 THEN 'a' ELSE md END AS md FROM ({inputs.duck(OBJECTS)}))"
+DISAGREED = "SELECT concat('k', CAST(o_orderkey AS STRING)) AS key, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS primary, CAST(o_custkey AS STRING) AS verifier, 'fail' AS status FROM {orders} WHERE o_orderkey % 4 = 0"
+
+
+def disagreement_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Disagreements as one JSON object each, read back."""
+    root = shared_folder(spark)
+    store.put_disagreements(inputs.run(spark, sf_dir, DISAGREED), root)
+    back = files.texts(spark, root, ".json").select(F.col("key").alias("path"), F.from_json("md", "key string, primary string, verifier string, status string").alias("r"))
+    return back.select("path", "r.*")
+
+
+DISAGREED_SQL = f"SELECT 'disagreements/' || key || '.json' AS path, * FROM ({inputs.duck(DISAGREED)})"
+
+
+def telemetry_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged telemetry copied to the store twice; records of each day as they are read there."""
+    staged, root = shared_folder(spark), shared_folder(spark)
+    events = inputs.run(spark, sf_dir, inputs.TELEMETRY)
+    files.append_telemetry(events.select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), F.col("source_key").cast("string").alias("source_key"), "success", "cost_usd"), staged)
+    for _ in range(2):
+        store.flush_telemetry(spark, staged, root)
+    return files.read_telemetry(spark, f"{root}/telemetry").groupBy(F.col("event_date").cast("string").alias("event_day")).agg(F.count("*").alias("records"), F.count_if("success").alias("successes"))
+
+
+FLUSHED_SQL = f"SELECT CAST(event_date AS STRING) AS event_day, count(*) AS records, count(*) FILTER (success) AS successes FROM ({inputs.duck(inputs.TELEMETRY)}) GROUP BY 1"
+PROMPTS = f"""SELECT CAST(p_partkey AS STRING) AS key, concat('---', chr(10), {inputs.case('p_partkey', ["concat('agent: ', p_brand, chr(10))", "concat('agent:', chr(10))", "''"])}, 'version: ', CAST(p_size AS STRING), chr(10),
+  {inputs.case('p_partkey', ["concat('last_modified: 2026-01-01', chr(10))"] * 4 + ["''"])}, '---', chr(10), chr(10), p_name, chr(10), '---', chr(10), 'tail') AS md FROM {{part}}"""
+
+
+def prompt_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts with their required keys, some missing or blank."""
+    return files.prompts(inputs.run(spark, sf_dir, PROMPTS))
+
+
+PROMPTS_SQL = """SELECT CAST(p_partkey AS STRING) AS key, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE '' END AS agent, CAST(p_size AS STRING) AS version, CASE WHEN p_partkey % 5 < 4 THEN '2026-01-01' ELSE '' END AS last_modified,
+  p_name || chr(10) || '---' || chr(10) || 'tail' AS body, sha256(p_name || chr(10) || '---' || chr(10) || 'tail') AS body_sha256, p_partkey % 3 = 0 AND p_partkey % 5 < 4 AS ok FROM part"""
+
 QUERIES = {
+    "object_store": (object_store, OBJECTS_SQL),
+    "disagreement_objects": (disagreement_objects, DISAGREED_SQL),
+    "telemetry_flushed": (telemetry_flushed, FLUSHED_SQL),
+    "prompt_load": (prompt_load, PROMPTS_SQL),
     "store_last_writer": (store_last_writer, STORE_SQL),
     "paired_sinks": (paired_sinks, PAIRED_SQL),
     "telemetry_newest_days": (telemetry_newest_days, DAYS_SQL),

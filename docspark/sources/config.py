@@ -71,10 +71,10 @@ def prompt_parts(text: str) -> tuple[str, str]:
 
 
 def undocumented(providers: list[str], headings: list[str]) -> list[str]:
-    """Providers that no heading names; letter case, spaces and signs do not count."""
-    bare = lambda x: "".join(c for c in x.lower() if c.isalnum())
-    known = [bare(h) for h in headings]
-    return sorted(p for p in providers if not any(bare(p) in h for h in known))
+    """Providers that no heading names by one or several whole words in a row; letter case, spaces and signs do not count."""
+    words = lambda x: "".join(c if c.isalnum() else " " for c in x.lower()).split()
+    known = {"".join(w[i:j]) for w in map(words, headings) for i in range(len(w)) for j in range(i + 1, len(w) + 1)}
+    return sorted(p for p in providers if "".join(words(p)) not in known)
 
 
 def prompt_baseline(prompts: Mapping[str, str]) -> str:
