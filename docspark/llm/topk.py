@@ -1,7 +1,7 @@
 """Exact top-k inner products: norm-sorted blocks, rotated partial sums, residual bounds.
 
 Components are quantised to floor(256 x); scores are integer inner products. Vectors are
-taken by descending length, in four rounds (STEPS); in each, ranges of like length form blocks.
+taken by descending length, in up to four rounds (STEPS, those of a block's size at least); in each, ranges of like length form blocks.
 Each round first stores the queries with the score their k-th best has so far and the
 length a vector must have to reach it, sorted by that length. A task holds one block of
 candidates at a time and reads from the store only the queries that the block's longest vector can
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset
 import pyarrow.fs
 from pyspark.sql import DataFrame, Window
@@ -46,12 +47,12 @@ def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
 
 
 def _matrix(column, dim: int) -> np.ndarray:
-    lists = column.to_pylist()
-    if all(len(x) == dim for x in lists):
-        return np.array(lists, np.float64).reshape(len(lists), dim)
-    out = np.zeros((len(lists), dim))
-    for i, x in enumerate(lists):
-        out[i, : len(x)] = x
+    """Lists of numbers as rows, shorter ones filled with zeros, from the flat values."""
+    sizes, flat = pc.list_value_length(column).to_numpy(zero_copy_only=False), column.flatten().to_numpy(zero_copy_only=False)
+    if (sizes == dim).all():
+        return flat.reshape(len(sizes), dim)
+    out = np.zeros((len(sizes), dim))
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
     return out
 
 
@@ -163,13 +164,14 @@ def top_k(vectors: DataFrame, is_query, k: int = K, leading: int = LEADING, sub_
     seen = own.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < F.lit(int(1_000_000 * share) + 1)).select("v").limit(SAMPLE).toArrow()
     sample = _matrix(seen["v"].combine_chunks(), dim) if dim else np.zeros((0, 0))
     rotation = np.linalg.svd(sample, full_matrices=True)[2].T if len(sample) and dim else np.eye(dim)
-    edges = own.agg(F.percentile_approx("norm2", [1 - x for x in STEPS], 10_000)).first()[0] or []
+    steps = [x for x in STEPS if n * x >= block_rows]  # a round that fills no block would renew no thresholds worth its cost
+    edges = own.agg(F.percentile_approx("norm2", [1 - x for x in steps], 10_000)).first()[0] if steps else []
     edges = [float("inf"), *sorted(set(edges), reverse=True), float("-inf")]
     queries = own.where(is_query).select(F.col("vec_id").alias("query_id"), "v", F.sqrt("norm2").alias("norm"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = None
     parallel = spark.sparkContext.defaultParallelism
-    for high, low, part in zip(edges[:-1], edges[1:], [*STEPS, 1.0], strict=False):
+    for high, low, part in zip(edges[:-1], edges[1:], [*steps, 1.0], strict=False):
         stored = _stored_queries(queries, best, k, max(1, -(-n_queries // 65_536)))
         files = [r[0] for r in stored.select(F.input_file_name()).distinct().collect()]  # one name for 65,536 queries
         some = own.where((F.col("norm2") < high if high < float("inf") else F.lit(True)) & (F.col("norm2") >= low)).select("vec_id", "v", "norm2")
