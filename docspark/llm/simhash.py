@@ -16,8 +16,12 @@ moves far less than shingles; texts are linked if they differ in two bits or few
 seed. Of the sf0.1 documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or
 more to an earlier one's, this finds 0.94; of those at 0.6 or more, 0.64.
 
-Null and empty texts have fingerprint 0, linked like any other; for word_groups() all texts
-without words are one group. Texts of fewer words than a
+Words of keep_one() are without their punctuation, so copies that differ in it are found. A run of
+a script written without spaces counts as its letters and the pairs of neighbouring ones, under twice
+as many seeds, and a text of signs alone as its signs.
+
+Null and empty texts have fingerprint 0, linked like any other; for word_groups() all null, empty and
+blank texts are one group. Texts of fewer words than a
 shingle have one shingle, the whole sequence. Each input row gives one output row; rows with
 a null id keep it and count as the largest id (a component of such rows alone has a null
 component_id). Other columns are ignored.
@@ -40,6 +44,8 @@ from .graph import components
 
 SHINGLE, MAX_BITS, FILE_PAIRS, SEEDS = 3, 2, 48, 8
 NO_SIGNS = re.compile(r"[^\w\s]+").sub
+#: Runs of letters of scripts that are written without spaces between words: Thai, Lao, Myanmar, Khmer, kana, Chinese characters.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 BLOCKS = 4
 MASKS = [sum(0xFFFF << (16 * b) for b in pair) for pair in combinations(range(BLOCKS), BLOCKS - MAX_BITS)]
 
@@ -68,9 +74,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * total > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def different_words(text: str | None) -> list[str]:
+    """The different small-letter words of a text without their punctuation, sorted; of runs of a script without spaces the letters and the pairs of neighbouring ones; of a text of signs alone the signs as they stand."""
+    low = text.lower() if text else ""
+    words = set(NO_SIGNS("", low).split())
+    if not low.isascii() and UNSPACED.search(low):
+        runs = UNSPACED.findall(NO_SIGNS("", low))
+        words = set(UNSPACED.sub(" ", NO_SIGNS("", low)).split()) | {r[i : i + n] for r in runs for n in (1, 2) for i in range(len(r) + 1 - n)}
+    return sorted(words or set(low.split()))
+
+
 def word_fingerprints(text: str | None, seeds: int) -> list[int]:
-    """One SimHash of the different words (without their punctuation) for each seed; none for a text without words."""
-    words = sorted(set(NO_SIGNS("", text.lower()).split())) if text else []
+    """One SimHash of the different words for each seed; none for a text without words."""
+    words = different_words(text)
     if not words:
         return []
     hashes = word_hashes([w.encode("utf-8", "surrogatepass") for w in words])

@@ -340,6 +340,35 @@ def test_op4(spark, docs, none, tmp_path):
     assert simhash.near_groups(none).count() == 0
 
 
+SCRIPTS = {"Latin": ([chr(0x61 + i) for i in range(26)], " "), "Cyrillic": ([chr(0x430 + i) for i in range(32)], " "), "Chinese": ([chr(0x4E00 + i) for i in range(2_500)], ""), "Thai": ([chr(0xE01 + i) for i in range(46)], "")}
+
+
+@pytest.mark.parametrize("name", list(SCRIPTS))
+def test_near_copies_of_any_script_are_found(name):
+    draw, (letters, gap) = random.Random(7), SCRIPTS[name]
+    units = ["".join(draw.choices(letters, k=draw.randrange(3, 9))) for _ in range(2_000)] if gap else letters
+    weights = [1 / (i + 10) for i in range(len(units))]
+    shingles = lambda u: {tuple(u[i : i + 5]) for i in range(len(u) - 4)}
+    near = lambda a, b: any((x ^ y).bit_count() <= simhash.MAX_BITS for x, y in zip(*(simhash.word_fingerprints(gap.join(u), simhash.SEEDS) for u in (a, b)), strict=True))
+    hits, false = [], 0
+    for size in (80, 300, 1_200):
+        for _ in range(40):
+            one = draw.choices(units, weights, k=size)
+            other = list(one)
+            for _ in range(max(1, size * draw.randrange(1, 4) // 200)):
+                other[draw.randrange(size)] = draw.choice(units)
+            if len(shingles(one) & shingles(other)) >= 0.8 * len(shingles(one) | shingles(other)):
+                hits.append(near(one, other))
+            false += near(one, draw.choices(units, weights, k=size))
+    assert len(hits) > 80 and sum(hits) >= 0.9 * len(hits) and not false
+
+
+def test_texts_of_signs_are_not_one_group(spark):
+    texts = ["★ ☃ ☂ → ←", "∑ ∏ ∫ √", "🙂 🙃", "★ ☃ ☂ → ←", " ", "", None, "!!! ???", "你好", "您早"]
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert kept == {0, 1, 2, 4, 7, 8, 9}
+
+
 def test_keep_one(docs, none):
     rows = [tuple(r) for r in docs.collect()]
     kept = simhash.keep_one(docs)
