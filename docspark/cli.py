@@ -25,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--concurrency", type=int, default=10)
+    p.add_argument("--rate", type=float, help="calls a second that the service allows; rows then wait for their turn in state")
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--verbose", action="store_true", help="show the plan first")
     p.add_argument("--show-image", action="store_true", help="show the addresses of the sources")
@@ -70,7 +71,7 @@ def _extract(spark, args) -> int:
         done = keys.where("false")
     agents = [(t, *(config.resolve(schemas.slug(t))[k] for k in ("provider", "model")), f"{schemas.slug(t)}@{evaluate.VERSION}") for t in schemas.DOC_TYPES]
     dimension = spark.createDataFrame(agents, "doc_type string, provider string, model string, prompt_version string")
-    results = lifecycles.extract_new(typed, done, extract.by_registry, dimension, concurrency=args.concurrency)
+    results = lifecycles.extract_new(typed, done, extract.by_registry, dimension, rate=args.rate, concurrency=args.concurrency)
     if args.verbose:
         results.explain("formatted")
     if args.dry_run:

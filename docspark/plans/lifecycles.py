@@ -10,19 +10,24 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import evaluate, extract, gates, keyed, legacy, receipts, records
+from ..streaming import limited
 
 #: The receipt fields that canonical fixtures pin.
 CANONICAL = ["receipt_debit_account_name", "receipt_debit_account_number", "receipt_credit_account_name", "receipt_credit_account_number"]
 
 
-def extract_new(keys: DataFrame, done: DataFrame, call: Callable = extract.rule_extractor, config: DataFrame | None = None, version: str = evaluate.VERSION, timestamp: str | None = None, **options) -> DataFrame:
+def extract_new(keys: DataFrame, done: DataFrame, call: Callable = extract.rule_extractor, config: DataFrame | None = None, version: str = evaluate.VERSION, timestamp: str | None = None, rate: float | None = None, **options) -> DataFrame:
     """A row for each key of keys (key, doc_type, text): skipped where an analysis exists, else the extractor's result. `ordinal` is the key's own, else its place among all keys.
 
-    With config (doc_type, provider, model, prompt_version), records hold their provenance.
+    With config (doc_type, provider, model, prompt_version), records hold their provenance. With
+    a rate, at most so many calls a second are made, by `concurrency` lanes that wait in state.
     """
     if "ordinal" not in keys.columns:
         keys = keyed.placed(keys, ["key"])
-    results = extract.extract(keyed.pending(keys, done), call, **options)
+    if rate is None:
+        results = extract.extract(keyed.pending(keys, done), call, **options)
+    else:
+        results = limited.extract_limited(keyed.pending(keys, done), call, rate, options.pop("concurrency", 10), **options).select("ordinal", "key", "doc_type", "fields", "status", "error", "attempts")
     if config is not None:
         results = extract.with_provenance(results, config, version, timestamp or evaluate.utc_now())
     old = keyed.skipped(keys, done).select("ordinal", "key", "doc_type", F.lit(None).cast("map<string,string>").alias("fields"), F.lit("skipped").alias("status"), F.lit("").alias("error"), F.array().cast(f"array<{extract.ATTEMPT}>").alias("attempts"))

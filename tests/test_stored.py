@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docspark.operators import evaluate, extract, keyed, selection
+from docspark.plans import lifecycles
 from docspark.sources import files, versions
 from docspark.streaming import ingest, limited
 
@@ -235,3 +236,12 @@ def test_entry_works_without_what_the_training_part_needs():
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, check=True)
     n, any_op, extra = json.loads(out.stdout.strip().splitlines()[-1])
     assert n >= 118 and not any_op and not extra
+
+
+def test_extraction_under_a_rate(spark):
+    keys = spark.createDataFrame([(i, f"k{i}", "Visa", "Visa Class: B") for i in range(40)], "ordinal long, key string, doc_type string, text string")
+    done = spark.createDataFrame([("k3",)], "key string")
+    plain = lifecycles.extract_new(keys, done, extract.by_registry)
+    slow = lifecycles.extract_new(keys, done, extract.by_registry, rate=500.0, concurrency=2)
+    shown = lambda d: sorted((r["ordinal"], r["key"], r["status"], str(r["fields"]), len(r["attempts"])) for r in d.collect())
+    assert shown(slow) == shown(plain) and slow.where("status = 'skipped'").count() == 1
