@@ -129,8 +129,7 @@ def _long(spark, path: str, doc_type: str | None, value: str):
 
 def _eval(spark, args) -> int:
     want, got = _long(spark, args.expected, args.doc_type, "expected"), _long(spark, args.actual, args.doc_type, "actual")
-    if args.jurisdiction:
-        want = want.where(F.col("jurisdiction") == args.jurisdiction)
+    want = evaluate.selected(want, args.jurisdiction)
     keys = want.select("key", "agent", "jurisdiction").distinct()
     both = want.select("key", "field", "expected").join(got.select("key", "field", "actual").join(keys.select("key"), "key", "left_semi"), ["key", "field"], "full_outer").join(keys, "key")
     results = both.na.fill("", ["expected", "actual", "jurisdiction"]).where("expected <> '' OR actual <> ''").withColumn("matched", F.col("expected") == F.col("actual"))
@@ -145,14 +144,14 @@ def _eval(spark, args) -> int:
     if not args.thresholds:
         return int(breach)
     floors, default = config.thresholds(spark, args.thresholds)
-    below = gates.breaches(evaluate.by_field(results), floors, default).orderBy("agent", "field").collect()
+    below = gates.breach_lines(gates.breaches(evaluate.by_field(results), floors, default)).orderBy("line").collect()
     for r in below:
-        print(f"{r['agent']}.{r['field']}: {r['match_rate']:.4f} < {r['floor']:.4f}")
+        print(r["line"])
     return int(bool(below) or breach)
 
 
 def _cost(spark, args) -> int:
-    got = gates.median_gate(files.read_telemetry(spark, args.telemetry), ceiling=args.ceiling).first()
+    got = gates.median_gate(files.newest_telemetry(spark, args.telemetry), ceiling=args.ceiling).first()
     print("no successful records, nothing to check" if got["median_usd"] is None else f"median ${got['median_usd']:.4f}, limit ${args.ceiling:.2f}, {got['records']} records over {got['days']} days")
     return int(not got["passed"])
 

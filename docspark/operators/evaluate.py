@@ -48,6 +48,13 @@ def paired(keys: DataFrame, results: DataFrame, ordinal: str = "ordinal", key: s
     return both.withColumn(key, same).drop("_key")
 
 
+def selected(rows: DataFrame, jurisdiction: str | None = None, agent: str | None = None) -> DataFrame:
+    """Rows of one jurisdiction and one type, where they are named."""
+    for column, value in (("jurisdiction", jurisdiction), ("agent", agent)):
+        rows = rows.where(F.col(column) == value) if value else rows
+    return rows
+
+
 def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0)).cast("double")
 

@@ -35,6 +35,11 @@ def breaches(rates: DataFrame, floors: DataFrame, default: float = DEFAULT_FLOOR
     return with_floor(rates, floors, default).where(F.col("match_rate") + SLACK < F.col("floor"))
 
 
+def breach_lines(below: DataFrame) -> DataFrame:
+    """line: what each breach says, by agent and field."""
+    return below.select(F.format_string("%s.%s: %.4f < %.4f", "agent", "field", "match_rate", "floor").alias("line"))
+
+
 def canonical_four(results: DataFrame, fields: list[str]) -> DataFrame:
     """doc_key, passed: all of the pinned fields match exactly."""
     return results.where(F.col("field").isin(fields)).groupBy("doc_key").agg(F.bool_and("matched").alias("passed"), F.count("*").alias("compared"))

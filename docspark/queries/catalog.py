@@ -241,6 +241,8 @@ query2("scorecard_jurisdiction", _BOTH, lambda want, got: evaluate.by_jurisdicti
 query2("scorecard_grouping_sets", _BOTH, lambda want, got: evaluate.in_one_pass(_compared(want, got)), f"SELECT agent, field, jurisdiction, {_HIT} AS n_matched, count(*) FILTER (WHERE actual <> '') AS n_actual, count(*) FILTER (WHERE expected <> '') AS n_expected, count(*) AS examples, CASE GROUPING(agent, field, jurisdiction) WHEN 3 THEN 'agent' WHEN 1 THEN 'field' WHEN 2 THEN 'jurisdiction' ELSE 'total' END AS level FROM {_RESULTS} GROUP BY GROUPING SETS ((agent), (agent, field), (agent, jurisdiction), ())")
 query2("scorecard_totals", _BOTH, lambda want, got: evaluate.totals(_compared(want, got)).select("examples", F.round("total_cost_usd", 6).alias("total_cost_usd"), F.round("distinct_doc_cost_usd", 6).alias("distinct_doc_cost_usd"), gates.run_breach(F.col("total_cost_usd")).alias("cost_breach")), f"SELECT count(*) AS examples, round(sum(cost_usd), 6) AS total_cost_usd, round(count(DISTINCT doc_key) * 0.0125, 6)::DOUBLE AS distinct_doc_cost_usd, sum(cost_usd) > 15 AS cost_breach FROM {_RESULTS}")
 _FLOORS = "SELECT 'Passport' AS agent, unnest(['name_latin', 'doc_number', 'expiry_date']) AS field, 0.98::DOUBLE AS floor UNION ALL SELECT 'PaymentReceipt', unnest(['receipt_debit_account_number', 'receipt_credit_account_number', 'receipt_amount', 'receipt_time']), 0.95 UNION ALL SELECT 'DriverLicence', unnest(['name_latin', 'doc_number']), 0.95 UNION ALL SELECT 'NationalID', unnest(['id_card_number', 'name_latin']), 0.95 UNION ALL SELECT 'Visa', unnest(['visa_class', 'valid_to']), 0.95"
+query2("breach_lines", _BOTH, lambda want, got: gates.breach_lines(gates.breaches(evaluate.by_field(_compared(want, got)), gates.floor_table(want.sparkSession))), f"SELECT agent || '.' || field || printf(': %.4f < %.4f', match_rate, floor) AS line FROM (SELECT r.*, coalesce(f.floor, 0.9)::DOUBLE AS floor FROM (SELECT agent, field, {_HIT} / count(*) AS match_rate FROM {_RESULTS} GROUP BY ALL) r LEFT JOIN ({_FLOORS}) f USING (agent, field)) WHERE match_rate + 1e-9 < floor")
+query2("eval_selected", _BOTH, lambda want, got: evaluate.by_agent(_compared(evaluate.selected(want, "CN", "Passport"), evaluate.selected(got, "CN", "Passport"))), f"SELECT agent, {_METRICS} FROM {_RESULTS} WHERE jurisdiction = 'CN' AND agent = 'Passport' GROUP BY agent")
 _RATES = f"(SELECT agent, field, {_HIT} / count(*) AS match_rate, count(*) AS examples FROM {_RESULTS} GROUP BY ALL)"
 query2("threshold_lookup", _BOTH, lambda want, got: gates.with_floor(evaluate.by_field(_compared(want, got)), gates.floor_table(want.sparkSession)), f"SELECT r.*, coalesce(f.floor, 0.9)::DOUBLE AS floor FROM {_RATES} r LEFT JOIN ({_FLOORS}) f USING (agent, field)")
 query2("threshold_breaches", _BOTH, lambda want, got: gates.breaches(evaluate.by_field(_compared(want, got)), gates.floor_table(want.sparkSession)), f"SELECT * FROM (SELECT r.*, coalesce(f.floor, 0.9)::DOUBLE AS floor FROM {_RATES} r LEFT JOIN ({_FLOORS}) f USING (agent, field)) WHERE match_rate + 1e-9 < floor")

@@ -35,7 +35,7 @@ def text(key: str) -> str:
 
 NZ = f"""SELECT o_orderkey AS k, concat('Bank transfer ', {case('o_orderkey', ["'of NZD '", "'of usd '", "'of AUD '", "'OF GBP '", "'for '"])},
   {text('o_orderkey % 90 + 1')}, ',', lpad({text('o_orderkey % 1000')}, 3, '0'), '.', lpad({text('o_orderkey % 100')}, 2, '0'),
-  ' sent to account ', c_name, ' (account number 12-', lpad({text('c_custkey')}, 8, '0'), '-00) from account "', c_mktsegment, ' & Co" (account number 06-', lpad({text('o_orderkey')}, 9, '0'), ')',
+  ' sent to account ', c_name, ' (account number 12-', lpad({text('c_custkey')}, 8, '0'), '-00) from account ', {case('o_orderkey', [chr(39) + q + chr(39) for q in ('"', '“', '‘“')])}, c_mktsegment, ' & Co', {case('o_orderkey', [chr(39) + q + chr(39) for q in ('"', '”', '” ')])}, ' (account number 06-', lpad({text('o_orderkey')}, 9, '0'), ')',
   {case('o_orderkey', ["' on Tuesday, '", "' on '", "' on Friday, '"])}, {text('day(o_orderdate)')}, ' ', {case('o_orderkey', [MONTH] * 6 + [f"substring({MONTH}, 1, 3)"])}, ' ', {text('year(o_orderdate)')}) AS body
 FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey"""
 
