@@ -25,6 +25,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_top_k": topk.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
     "op7_mixing": mixing.OP7_SQL,
+    "op8_suffix_dedup": suffixes.OP8_SQL,
     "op11_prefix_trie": trie.OP11_SQL,
     "op12_periodic_runs": periods.OP12_SQL,
 }
