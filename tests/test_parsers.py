@@ -249,3 +249,38 @@ def test_plain_records_are_flat(spark):
     df = spark.createDataFrame(rows, "k int, md string")
     assert df.where(records.flat(records.split_anywhere(F.col("md"))[1])).count() == 50
     assert {r.fields["receipt_reference"] for r in records.parse(df).collect()} == {str(i) for i in range(50)}
+
+
+ODD = ["", "Customer#000000007", "a #c", "a#c ", "15", "015", "-12", "+0", "1_000", "12.50", "-.5", "1e3", "1.5e+3", "0.1.0", "1.2.3.4", "2026-03-01", "2026-03-01T10:20:00Z", "2026-3-1 1:20:00", "12:30", "yes", "No", "oN", "NULL", "nUll", "~", "null", "passport@1.0.0", "O'Brien", "'x", "x'", '"q"', "a: b", "a:b", ":a", "- a", "-", "-a", "?", "? a", "[x]", "{x}", "x, y; z", "孙嘉蔚", "孙 #1", "é", "☃ x", "tab\there", "two\nlines", " lead", "trail ", "%a", "@a", "`a", "!a", "&a", "*a", "=", "<<", "a=b", "long " * 30, "x" * 100, "word " * 13 + "end", "---", "...", "\ufeffx", "0x1f", "0o17", "null #"]
+
+
+def test_rendering_agrees_with_yaml(spark):
+    """Each odd text in each of three places, as the YAML writer writes it, and read back."""
+    yaml = pytest.importorskip("yaml")
+    rows = [tuple(v if i == at else "Plain text" for i in range(3)) for v in ODD for at in range(3)]
+    frame = spark.createDataFrame(rows, "name_latin string, tin string, holder_name string")
+    closed = frame.select(*schemas.closed({"doc_type": F.lit("TaxResidency"), **{c: F.col(c) for c in frame.columns}}, "TaxResidency"))
+    got = records.render(closed, "TaxResidency").collect()
+    for r in got:
+        record = {k: v for k, v in r.asDict().items() if k != "md"}
+        assert r["md"] == "---\n" + yaml.safe_dump(record, allow_unicode=True, sort_keys=False) + "---\n\n"
+    maps = [({"a": v, "b-c": "x", "n": None},) for v in ODD] + [({"yes": "x"},), ({"1k": "x"},), ({"a b": "x"},), ({},), (None,)]
+    drawn = records.with_yaml(spark.createDataFrame(maps, "m map<string,string>"), F.col("m"), "y").collect()
+    assert len(drawn) == len(maps)
+    for r in drawn:
+        assert r.y == (None if r.m is None else yaml.safe_dump(r.m, allow_unicode=True, sort_keys=False)), r.m
+    values = spark.createDataFrame([(f"\nk: {yaml.safe_dump(v, allow_unicode=True).removesuffix(chr(10) + '...' + chr(10)).strip()}\nz: null\n",) for v in ODD if v.strip() == v and len(v) < 60 and chr(10) not in v], "h string")
+    for r in records.with_head(values, F.col("h")).collect():
+        assert r._error == "" and r._fields == yaml.safe_load(r.h), r.h
+
+
+def test_common_records_need_no_yaml_code(spark):
+    """Records of numbers, versions, dates, names with signs and of Chinese letters are written and read without the YAML library."""
+    texts = ["Customer#000000007", "15", "-12.50", "0.1.0", "2026-03-01T10:20:00Z", "2026-03-01", "passport@1.0.0", "孙嘉蔚", "O'Brien, J", "yes", ""]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, name_latin string")
+    closed = rows.select("k", *schemas.closed({"doc_type": F.lit("Visa"), "name_latin": F.col("name_latin")}, "Visa"))
+    fields = F.map_from_arrays(F.array(F.lit("name_latin")), F.array("name_latin"))
+    lines = closed.select("k", F.transform(F.map_entries(fields), records._line).alias("lines"))
+    assert lines.where(~records._whole(F.col("lines"))).count() == 0
+    heads = records.render(closed, "Visa").select(records.split_anywhere(F.col("md"))[1].alias("h"))
+    assert heads.where(records.flat(F.col("h"))).count() == len(texts)
