@@ -230,3 +230,23 @@ def test_nothing_else_imports_llm():
             for name in names:
                 if name.endswith(".py"):
                     assert not re.search(r"\bllm\b", open(os.path.join(folder, name)).read())
+
+
+def test_objects_are_listed_and_read_by_tasks(spark, tmp_path):
+    """The driver holds no list of files: the plans name none, however many there are."""
+    root = tmp_path / "many"
+    rows = spark.range(2_500).selectExpr("concat('a b/', id % 3, '/k', id) AS key", "concat('t', id) AS md")
+    assert store.put_analyses(rows, str(root)).count() == 0
+    (root / "_hidden").mkdir()
+    (root / "_hidden" / "x.md").write_text("x")
+    (root / ".y.md").write_text("y")
+    (root / "z.pdf").write_bytes(b"\xff\x00")
+    for root_ in (str(root), f"file://{root}", f"{root}/"):
+        frames = [files.manifest(spark, root_), files.texts(spark, root_), files.contents(spark, root_)]
+        assert [f.inputFiles() for f in frames] == [[], [], []]
+        assert [f.count() for f in frames] == [2_501, 2_500, 2_501]
+    texts = {r["key"]: r["md"] for r in files.texts(spark, str(root)).collect()}
+    assert texts == {f"a b/{i % 3}/k{i}.md": f"t{i}" for i in range(2_500)}
+    found = {r["key"]: r for r in files.manifest(spark, str(root)).collect()}
+    assert found["z.pdf"]["size"] == 2 and found["z.pdf"]["content_type"] == "application/pdf" and found["z.pdf"]["uri"] == f"file:{root}/z.pdf"
+    assert bytes(files.contents(spark, str(root)).where("key = 'z.pdf'").first()["content"]) == b"\xff\x00"
