@@ -245,3 +245,48 @@ def test_extraction_under_a_rate(spark):
     slow = lifecycles.extract_new(keys, done, extract.by_registry, rate=500.0, concurrency=2)
     shown = lambda d: sorted((r["ordinal"], r["key"], r["status"], str(r["fields"]), len(r["attempts"])) for r in d.collect())
     assert shown(slow) == shown(plain) and slow.where("status = 'skipped'").count() == 1
+
+
+def test_rows_with_tokens_never_enter_state():
+    """Only what has to wait costs state: here the rows turned away, and those beyond the tokens."""
+    class Value:
+        held = None
+        get = lambda self: self.held
+
+        def update(self, v):
+            self.held = v
+
+    class Map(dict):
+        puts = 0
+        getValue, removeKey = dict.__getitem__, dict.__delitem__
+
+        def updateValue(self, k, v):
+            self.puts += 1
+            self[k] = v
+
+    class Handle:
+        timers = []
+        listTimers = lambda self: list(self.timers)
+        deleteTimer = lambda self, t: self.timers.remove(t)
+        registerTimer = lambda self, t: self.timers.append(t)
+
+    class Clock:
+        now = 1_000
+        getCurrentProcessingTimeInMs = lambda self: self.now
+
+    def call(row, tier):
+        if row["ordinal"] == 3 and not seen.get(3):
+            seen[3] = True
+            raise extract.RateLimited
+        if row["ordinal"] == 4 and tier == "rules":
+            raise extract.Invalid("more")
+        return {}
+
+    seen, lane, clock = {}, limited.Lane(call, "rules", {"rules": "big"}, 100.0, 100.0, 3, 0.05), Clock()
+    lane.handle, lane.bucket, lane.waiting = Handle(), Value(), Map()
+    rows = [{"ordinal": i, "key": str(i), "doc_type": "Visa", "text": ""} for i in range(120)]
+    first = list(lane.handleInputRows((0,), iter(rows), clock))
+    assert len(first) == 98 and lane.waiting.puts == 22 and len(Handle.timers) == 1  # 100 calls: one turned away, one asked twice
+    clock.now = 2_000
+    rest = list(lane.handleExpiredTimer((0,), clock, None))
+    assert sorted(r["ordinal"] for r in first + rest) == list(range(120)) and not lane.waiting and not Handle.timers
