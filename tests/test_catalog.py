@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from docspark.queries.catalog import CATALOG
 
@@ -52,3 +53,9 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_work_on_a_small_file_is_dealt_to_all_cores(spark):
+    for name in ("legacy_map_national_id", "legacy_map_passport", "legacy_map_bank_statement", "legacy_map_visa", "record_round_trip"):
+        got = CATALOG[name][0](spark, "/root/testdata/sf0.001")
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1, name
