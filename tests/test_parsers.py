@@ -117,6 +117,24 @@ def test_fallback_and_merge(spark):
     assert (row["merged_p"], row["merged_q"], row["merged_r"], row["changed"]) == ("x", "1", "3", ["q", "r"])
 
 
+def test_receipts_are_read_by_steps_that_are_compiled(spark):
+    """Exploding one element interprets all that it holds; a method above 8,000 bytes is never compiled to machine code."""
+    plan = receipts.parse_either(spark.range(3).selectExpr("id AS k", "concat('金额: ', id) AS body"))._jdf.queryExecution()
+    assert "Generate" not in plan.executedPlan().toString()
+    stages = plan.debug().codegenToSeq()
+    assert all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
+
+
+@pytest.mark.parametrize("text,amount", [("of NZD 5", "5"), ("-OF NZD 5", "5"), ("of of NZD 5", "5"), ("of\u3000nzd 5", "5"), ("xof NZD 5", None), ("_of NZD 5", None), ("éof NZD 5", None), ("ofNZD 5", None)])
+def test_of_is_a_word(spark, text, amount):
+    assert nz(spark, text + ' from account A (account number 1) to account B (account number 2) on 1 July 2025')["receipt_amount"] == amount
+
+
+@pytest.mark.parametrize("text,amount", [("金额: 5", "5"), ("x\n金额:5", "5"), ("(金额*：\n5", "5"), ("x金额: 5", ""), (":金额: 5", ""), ("币种: 金额: 5", "5"), ("金额 5", "")])
+def test_label_begins_after_a_space_or_bracket(spark, text, amount):
+    assert cn(spark, text)["receipt_amount"] == amount
+
+
 LEGACY = "**Model:** `m`\n**Analyzed:** 2026-01-02 03:04\nDOCUMENT_TYPE: Passport\n**FIELDS:**\n- Full Name: SUN, JIAWEI (孙嘉蔚)\n- **Nationality**: Chinese\n- nationality: KIWI\n- Date of Birth: 30 JUN 1999\n- Sex: 女\n- Place of Birth: Xi an (CN)\nRAW_TEXT:\n- Passport Number: no"
 
 
