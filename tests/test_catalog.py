@@ -59,3 +59,9 @@ def test_work_on_a_small_file_is_dealt_to_all_cores(spark):
     for name in ("legacy_map_national_id", "legacy_map_passport", "legacy_map_bank_statement", "legacy_map_visa", "record_round_trip"):
         got = CATALOG[name][0](spark, "/root/testdata/sf0.001")
         assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1, name
+
+
+def test_mixed_receipts_are_read_by_compiled_steps(spark):
+    for name in ("receipt_fallback_route", "receipt_repair_merge"):
+        plan = CATALOG[name][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan, name
