@@ -65,3 +65,11 @@ def test_mixed_receipts_are_read_by_compiled_steps(spark):
     for name in ("receipt_fallback_route", "receipt_repair_merge"):
         plan = CATALOG[name][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Generate" not in plan, name
+
+
+def test_legacy_texts_are_read_in_one_step(spark):
+    """Exploded elements copy every text and array from step to step, and a text that is named twice is kept beside its fields."""
+    for name in ("legacy_map_national_id", "legacy_map_passport", "legacy_map_bank_statement", "legacy_map_visa"):
+        plan = CATALOG[name][0](spark, SF)._jdf.queryExecution()
+        assert "Generate" not in plan.executedPlan().toString(), name
+        assert "AS text#" not in plan.optimizedPlan().toString(), name

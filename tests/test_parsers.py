@@ -147,6 +147,18 @@ def test_legacy_passport(spark):
     assert row[1]["name_latin"] == "" and row[1]["doc_type"] == "Passport"
 
 
+@pytest.mark.parametrize("text,fields", [
+    ("FIELDS\r\n- A: 1\r\n\r\n* **B **:\u30002 \x85-c:d: e", [("a", "1"), ("b", "2"), ("c", "d: e")]),
+    ("fıelds:**\n- A: 1\n  **quality**: x\n- B: 2", [("a", "1")]),
+    ("***FIELDS\n- A: 1", []), ("FIELDS::\n- A: 1", []), ("FIELDS:\n---\n- A: 1", []),
+    ("FIELDS:\n- ** **: x\n- : x\n- ***a: x\n- a*b: x\n- A:\u00a0\n-- b: x\nNOTES\n- B: y", [("", "x"), ("- b", "x"), ("b", "y")]),
+    (None, []), ("", []),
+])
+def test_fields_block(spark, text, fields):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert [tuple(f) for f in legacy.with_fields(df).first()["fields"]] == fields
+
+
 def test_lists_are_null_or_full(spark):
     texts = spark.createDataFrame([("FIELDS:\n- Directors: A; B and C, ",), ("FIELDS:\n- Name: X",)], "text string")
     got = legacy.map_legacy(texts, "CompanyExtract").collect()
