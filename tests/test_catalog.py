@@ -73,3 +73,12 @@ def test_legacy_texts_are_read_in_one_step(spark):
         plan = CATALOG[name][0](spark, SF)._jdf.queryExecution()
         assert "Generate" not in plan.executedPlan().toString(), name
         assert "AS text#" not in plan.optimizedPlan().toString(), name
+
+
+def test_legacy_mappers_are_compiled(spark):
+    """Functions over arrays are interpreted, and so is a generated method of over 8,000 bytes."""
+    for name in ("legacy_map_passport", "legacy_map_bank_statement", "legacy_map_visa"):
+        plan = CATALOG[name][0](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambdafunction" not in plan, name
+        assert plan.count("Project") > 4, name
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
