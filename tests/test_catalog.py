@@ -82,3 +82,9 @@ def test_legacy_mappers_are_compiled(spark):
         assert "lambdafunction" not in plan, name
         assert plan.count("Project") > 4, name
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_mixed_receipts_cut_by_kept_patterns(spark):
+    """split() compiles its pattern for each text, so it is given one sign; only bodies that hold the sign are cut by pattern."""
+    plan = CATALOG["receipt_repair_merge"][0](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists(" not in plan and plan.count(", \x01, -1)") >= 3
