@@ -290,3 +290,105 @@ def test_rows_with_tokens_never_enter_state():
     clock.now = 2_000
     rest = list(lane.handleExpiredTimer((0,), clock, None))
     assert sorted(r["ordinal"] for r in first + rest) == list(range(120)) and not lane.waiting and not Handle.timers
+
+
+class Value:
+    held = None
+    get = lambda self: self.held
+
+    def update(self, v):
+        self.held = v
+
+
+class Waiting(dict):
+    """Stands for a lane's map state, each put of which takes a millisecond."""
+
+    puts = 0
+    getValue, removeKey = dict.__getitem__, dict.__delitem__
+
+    def updateValue(self, k, v):
+        time.sleep(0.001)
+        self.puts += 1
+        self[k] = v
+
+
+class Timers(list):
+    listTimers, deleteTimer, registerTimer = list.copy, list.remove, list.append
+
+
+class Clock(int):
+    getCurrentProcessingTimeInMs = int.__int__
+
+
+def lane_of(call, rate, burst, base=0.02):
+    lane = limited.Lane(call, "rules", {"rules": "big"}, rate, burst, 3, base)
+    lane.handle, lane.bucket, lane.waiting = Timers(), Value(), Waiting()
+    return lane
+
+
+def some_rows(n):
+    return iter([{"ordinal": i, "key": str(i), "doc_type": "Visa", "text": ""} for i in range(n)])
+
+
+def test_tokens_that_come_in_during_a_batch_are_spent_in_it():
+    lane = lane_of(lambda row, tier: time.sleep(0.002) or {}, 1_000.0, 200.0)
+    assert len(list(lane.handleInputRows((0,), some_rows(400), Clock(1_000)))) == 400 and lane.waiting.puts == 0 and not lane.handle
+
+
+@pytest.mark.parametrize("hold", [limited.HELD, 0])
+def test_rows_turned_away_are_asked_again_in_the_batch(monkeypatch, hold):
+    monkeypatch.setattr(limited, "HELD", hold)
+    seen = set()
+
+    def call(row, tier):
+        time.sleep(0.002)
+        if row["ordinal"] < 10 and row["ordinal"] not in seen:
+            seen.add(row["ordinal"])
+            raise extract.RateLimited
+        return {}
+
+    lane = lane_of(call, 1_000.0, 200.0)
+    out = list(lane.handleInputRows((0,), some_rows(100), Clock(1_000)))
+    assert lane.waiting.puts == (0 if hold else 10) and len(out) == 100 - lane.waiting.puts
+    assert bool(lane.handle) == bool(lane.waiting)
+    out += list(lane.handleExpiredTimer((0,), Clock(5_000), None)) if lane.waiting else []
+    assert sorted((r["ordinal"], len(json.loads(r["attempts"]))) for r in out) == [(i, 2 if i < 10 else 1) for i in range(100)] and not lane.waiting
+
+
+def test_a_lane_stays_within_its_rate_and_wakes_until_all_is_settled(monkeypatch):
+    """Each batch spends what was saved up and what came in since at most, and what waits always has a timer."""
+    monkeypatch.setattr(limited, "SPAN", 300)
+    at, turned = [], {}
+
+    def call(row, tier):
+        at.append(time.monotonic())
+        turned[row["ordinal"]] = turned.get(row["ordinal"], 0) + 1
+        if row["ordinal"] % 5 == 0 and turned[row["ordinal"]] < 3 or row["ordinal"] % 25 == 0:
+            raise extract.RateLimited
+        if row["ordinal"] % 7 == 1 and tier == "rules":
+            raise extract.Invalid("more")
+        return {}
+
+    lane, now, out = lane_of(call, 200.0, 20.0), 1_000, []
+    began = time.monotonic()
+    out += list(lane.handleInputRows((0,), some_rows(300), Clock(now)))
+    batches, most = 1, lambda n, passed: n <= 20 + 200 * passed + 1
+    assert all(most(i + 1, t - began) for i, t in enumerate(at)) and len(at) > 20
+    while lane.waiting:
+        assert len(lane.handle) == 1 and lane.handle[0] > now
+        now, calls, began = max(lane.handle[0], lane.bucket.held[1]), len(at), time.monotonic()
+        out += list(lane.handleExpiredTimer((0,), Clock(now), None))
+        assert all(most(i + 1, t - began) for i, t in enumerate(at[calls:]))
+        batches += 1
+    assert not lane.handle and sorted(r["ordinal"] for r in out) == list(range(300)) and batches < 1_000
+    for r in out:
+        n = r["ordinal"]
+        assert r["status"] == ("rate_limited" if n % 25 == 0 else "passed") and len(json.loads(r["attempts"])) == (3 if n % 5 == 0 else 1) + (n % 7 == 1 and n % 25 != 0), n
+
+
+@pytest.mark.parametrize("lanes", [1, 4, 8, 10, 60])
+def test_each_lane_has_a_partition_of_its_own(spark, lanes):
+    found = spark.createDataFrame([(n,) for n in limited.numbers(spark, lanes)], "lane int")
+    assert sorted(r["p"] for r in found.select(F.expr(f"pmod(hash(lane), {lanes})").alias("p")).collect()) == list(range(lanes))
+    rows = found.repartition(lanes, "lane").withColumn("p", F.spark_partition_id()).collect()
+    assert len({r["p"] for r in rows}) == lanes
